@@ -12,6 +12,16 @@ def battle_ts(battle_time: Column) -> Column:
     return F.try_to_timestamp(battle_time, F.lit(TIME_FORMAT)).cast("timestamp_ntz")
 
 
+def event_time(battle_time: Column) -> Column:
+    """The instant of the text form, for watermarks; the trailing Z is read as UTC."""
+    return F.try_to_timestamp(battle_time, F.lit(TIME_FORMAT.replace("'Z'", "X")))
+
+
+def utc_date(instant: Column) -> Column:
+    """Day in UTC of an instant, whatever the session's time zone."""
+    return F.convert_timezone(F.current_timezone(), F.lit("UTC"), instant.cast("timestamp_ntz")).cast("date")
+
+
 def battle_date(battle_time: Column) -> Column:
     """Day of the battle, read from the first eight characters; null when they are no date."""
     return F.try_to_timestamp(F.substring(battle_time, 1, 8), F.lit("yyyyMMdd")).cast("date")
