@@ -11,16 +11,16 @@ def pattern_of(deck: Column) -> Column:
 
 
 def sorted_pattern_of(deck: Column) -> Column:
-    return pattern_of(F.array_sort(deck))
+    return pattern_of(F.sort_array(deck))
 
 
 def pattern_cards(pattern: Column) -> Column:
     """The set of card ids of a pattern, ascending."""
-    return F.array_sort(F.array_distinct(F.split(pattern, ",").cast("array<int>")))
+    return F.sort_array(F.array_distinct(F.split(pattern, ",").cast("array<int>")))
 
 
 def card_set(deck: Column) -> Column:
-    return F.array_sort(F.array_distinct(deck))
+    return F.sort_array(F.array_distinct(deck))
 
 
 def jaccard(left: Column, right: Column) -> Column:
@@ -61,17 +61,32 @@ def toggle(deck: Column, card: Column) -> Column:
     )
 
 
+def bit_text(indexes: Column, width: int) -> Column:
+    """Text of ``width`` digits, 1 at each index of the deck; nulls are left out, an index beyond is an error.
+
+    Built from the gaps between the sorted indexes, so the work does not grow with width times deck size.
+    """
+    places = F.sort_array(F.array_distinct(F.filter(indexes, lambda i: i.isNotNull())))
+
+    def digits(idx: Column) -> Column:
+        before = lambda k: F.coalesce(F.get(idx, k - 1), F.lit(-1))
+        filled = F.transform(
+            idx, lambda p, k: F.concat(F.repeat(F.lit("0"), p - before(k) - 1), F.lit("1"))
+        )
+        highest = before(F.size(idx))
+        rest = F.repeat(F.lit("0"), F.lit(width - 1) - highest)
+        too_wide = F.raise_error(F.lit(f"card index beyond width {width}")).cast("string")
+        return F.when(highest < width, F.concat(F.array_join(filled, ""), rest)).otherwise(too_wide)
+
+    # The one-element array evaluates the sorted indexes once per row.
+    return F.get(F.transform(F.array(places), digits), F.lit(0))
+
+
 def multi_hot(indexes: Column, width: int) -> Column:
     """``array<boolean>`` of the given width, true at each index of the deck."""
-    return F.transform(
-        F.sequence(F.lit(0), F.lit(width - 1)), lambda i: F.array_contains(indexes, i)
-    )
+    return F.split(bit_text(indexes, width), "").cast("array<boolean>")
 
 
 def padded_key(indexes: Column) -> Column:
     """Each number padded to three digits and joined: text that sorts like the deck."""
     return F.array_join(F.transform(indexes, lambda i: F.lpad(i.cast("string"), 3, "0")), "")
-
-
-def bits(flags: Column) -> Column:
-    return F.array_join(F.transform(flags, lambda f: F.when(f, "1").otherwise("0")), "")

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from battlelake.functions.decks import contains_all, contains_none, multi_hot
+from battlelake.functions.decks import bit_text, contains_all, contains_none, multi_hot
 from battlelake.schemas import DECK_SIZE
 from battlelake.sources.dims import MAX_LITERAL_ROWS, literal_map
 
@@ -13,7 +13,7 @@ def without_mirrors(flat: DataFrame, any_order: bool = False) -> DataFrame:
     """Drop battles of equal decks: position by position, or as sets with ``any_order``."""
     first, second = F.col("p1_deck"), F.col("p2_deck")
     if any_order:
-        first, second = F.array_sort(first), F.array_sort(second)
+        first, second = F.sort_array(first), F.sort_array(second)
     return flat.where(first != second)
 
 
@@ -21,8 +21,8 @@ def deck_pair_stats(flat: DataFrame, any_order: bool = False) -> DataFrame:
     """Wins and losses of the smaller sorted deck against the larger, draws and mirrors left out."""
     decided = without_mirrors(flat, any_order).where(F.col("p1_crowns") != F.col("p2_crowns"))
     oriented = decided.select(
-        F.array_sort("p1_deck").alias("first"),
-        F.array_sort("p2_deck").alias("second"),
+        F.sort_array("p1_deck").alias("first"),
+        F.sort_array("p2_deck").alias("second"),
         (F.col("p1_crowns") > F.col("p2_crowns")).alias("first_won"),
     )
     in_order = F.col("first") <= F.col("second")
@@ -58,6 +58,11 @@ def flat_deck_columns(stats: DataFrame) -> DataFrame:
     return stats.select(*cards, "wins", "losses")
 
 
+def write_deck_file(stats: DataFrame, path: str, mode: str = "errorifexists") -> None:
+    """The pair table as CSV, in deck order across and within the files."""
+    flat_deck_columns(stats.orderBy("deck_a", "deck_b")).write.mode(mode).csv(path)
+
+
 def resolve_keys(cards: DataFrame, keys: list[str]) -> list[int]:
     """Card ids of the given keys, the first in the dimension's order where a key repeats."""
     if not keys:
@@ -98,29 +103,31 @@ def card_index_map(cards: DataFrame) -> Column:
     return found
 
 
-def indexed(deck: Column, index_map: Column, legacy: bool = False) -> Column:
-    """Card places; unknown cards become null, or place 0 with ``legacy``."""
-    place = lambda card: F.try_element_at(index_map, card)
-    if legacy:
-        return F.transform(deck, lambda card: F.coalesce(place(card), F.lit(0)))
-    return F.transform(deck, place)
+def indexed(deck: Column, index_map: Column) -> Column:
+    """Card places; unknown cards become null."""
+    return F.transform(deck, lambda card: F.try_element_at(index_map, card))
 
 
 def multi_hot_battles(
-    flat: DataFrame, index_map: Column, team_width: int, opponent_width: int, legacy: bool = False
+    flat: DataFrame, index_map: Column, team_width: int, opponent_width: int,
+    legacy: bool = False, as_text: bool = False,
 ) -> DataFrame:
-    """Battles with each deck as booleans by card place, and the number of unknown cards."""
-    places = {side: indexed(F.col(f"{side}_deck"), index_map, legacy) for side in ("p1", "p2")}
-    unknown = {
-        side: F.size(F.filter(F.col(f"{side}_deck"), lambda c: ~F.map_contains_key(index_map, c)))
-        for side in ("p1", "p2")
-    }
+    """Battles with each deck as booleans by card place (or as text of 0 and 1), and the unknown cards' number.
+
+    Unknown cards set no flag; with ``legacy`` they count as the card at place 0.
+    """
+    encode = bit_text if as_text else multi_hot
+    widths = {"p1": team_width, "p2": opponent_width}
+    encoded = flat.withColumns({f"{s}_places": indexed(F.col(f"{s}_deck"), index_map) for s in widths})
+
+    def places(side: str) -> Column:
+        found = F.col(f"{side}_places")
+        return F.transform(found, lambda i: F.coalesce(i, F.lit(0))) if legacy else found
+
+    unknown = F.size(F.filter(F.concat("p1_places", "p2_places"), lambda i: i.isNull()))
     kept = [c for c in flat.columns if c not in ("p1_deck", "p2_deck")]
-    filled = {side: F.filter(places[side], lambda i: i.isNotNull()) for side in places}
-    return flat.select(
+    return encoded.select(
         *kept,
-        multi_hot(filled["p1"], team_width).alias("p1_cards"),
-        multi_hot(filled["p2"], opponent_width).alias("p2_cards"),
-        (unknown["p1"] + unknown["p2"]).alias("unknown_cards"),
+        *[encode(places(side), width).alias(f"{side}_cards") for side, width in widths.items()],
+        unknown.alias("unknown_cards"),
     )
-

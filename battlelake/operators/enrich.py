@@ -41,7 +41,7 @@ def with_card_names(df: DataFrame, decks: dict[str, str], cards: DataFrame) -> D
             .select(deck, F.posexplode(deck).alias("place", "card"))
             .join(dim, "card", "left")
             .groupBy(deck)
-            .agg(F.array_sort(F.collect_list(F.struct(
+            .agg(F.sort_array(F.collect_list(F.struct(
                 "place", F.coalesce("name", unknown_card(F.col("card"))).alias("name")
             ))).alias("names"))
             .select(deck, F.col("names.name").alias(new))

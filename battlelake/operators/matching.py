@@ -2,13 +2,15 @@
 
 Scoring every request against every pattern, or against every pattern that shares a card, grows with the
 popularity of a card. Instead both sides are keyed by the subsets of their card sets (at most 127, since
-patterns and requests have at most 7 cards), and per subset only the patterns that can win are kept.
+patterns and requests have at most 7 cards), and per subset only the patterns that can win are kept: the
+first N by size, then id.
 
-Why that is exact: take a pattern P among a request's best N, sharing the set S with it. If N patterns of
-the same size as P with lower ids contained S, each would share at least S, score at least as high and
+Why that is exact: take a pattern P of p cards among a request's best N, sharing exactly the set S with it.
+Suppose N other patterns containing S come before P by (size, id). Each shares at least S and has at most p
+cards, so its score is at least P's; where it is equal, the size is equal and the id lower. All N would
 precede P in the order (score descending, id ascending), so P would not be among the best N. Hence P is
-among the N lowest ids of its (S, size) group, and reading those groups for every subset of the request
-finds it with its true overlap. Other rows found this way are scored at most too low, never too high.
+among the first N of the subset S, and reading every subset of the request finds it with its true overlap.
+Other rows found this way are scored at most too low, never too high.
 """
 
 from __future__ import annotations
@@ -54,7 +56,7 @@ def similar_patterns(request_sets: DataFrame, mapping: DataFrame, top_n: int = T
     wanted = _by_subset(requested, "subset_of")
     known = _known_sets(mapping, top_n).withColumn("known", _check_width("known"))
     place = F.row_number().over(
-        Window.partitionBy("shared", "known_size").orderBy("deck_pattern_id")
+        Window.partitionBy("shared").orderBy("known_size", "deck_pattern_id")
     )
     index = (
         _by_subset(known, "known")
@@ -101,14 +103,15 @@ def best_overlaps(request_sets: DataFrame, mapping: DataFrame) -> DataFrame:
         .groupBy("shared")
         .agg(F.min("deck_pattern_id").alias("deck_pattern_id"))
     )
-    best = F.min(F.struct((-F.size("shared")).alias("rank"), "deck_pattern_id"))
+    # One number orders by overlap (more first), then id: a fixed-width key keeps the aggregation hashed.
+    rank = F.shiftleft((MAX_SET_SIZE - F.size("shared")).cast("bigint"), 32) + F.col("deck_pattern_id")
     return (
         wanted.join(index, "shared")
         .groupBy("cards")
-        .agg(best.alias("best"))
+        .agg(F.min(rank).alias("rank"))
         .select(
             "cards",
-            F.col("best.deck_pattern_id").alias("deck_pattern_id"),
-            (-F.col("best.rank")).alias("overlap"),
+            F.col("rank").bitwiseAND(F.lit(2**32 - 1)).cast("int").alias("deck_pattern_id"),
+            (F.lit(MAX_SET_SIZE) - F.shiftright("rank", 32)).cast("int").alias("overlap"),
         )
     )

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from battlelake.functions.decks import card_set
 from battlelake.operators.matching import TOP_PATTERNS, best_overlaps, similar_patterns
@@ -15,26 +15,26 @@ MIN_CARDS, MAX_CARDS = 1, 10
 DEFAULT_CARDS = 3
 
 
+def _good_size() -> Column:
+    # IN evaluates the deck once, where a range comparison would evaluate it twice.
+    return F.coalesce(F.size("partial_deck"), F.lit(0)).isin(list(range(MIN_DECK, MAX_DECK + 1)))
+
+
+def _wanted() -> Column:
+    return F.coalesce(F.col("num_recommendations"), F.lit(DEFAULT_CARDS))
+
+
 def checked_requests(requests: DataFrame) -> DataFrame:
     """Requests with the default filled in, and the reason why a request is turned down (else null)."""
-    wanted = F.coalesce(F.col("num_recommendations"), F.lit(DEFAULT_CARDS))
-    size = F.coalesce(F.size("partial_deck"), F.lit(0))
     reason = (
-        F.when(~size.between(MIN_DECK, MAX_DECK), "deck size")
-        .when(~F.col("num_recommendations").between(MIN_CARDS, MAX_CARDS), "number of cards")
+        F.when(~_good_size(), "deck size").when(~_wanted().between(MIN_CARDS, MAX_CARDS), "number of cards")
     )
-    return requests.withColumn("num_recommendations", wanted).withColumn("rejected", reason)
+    return requests.withColumn("rejected", reason).withColumn("num_recommendations", _wanted())
 
 
 def _valid(requests: DataFrame) -> DataFrame:
-    return (
-        checked_requests(requests)
-        .where(F.col("rejected").isNull())
-        .select(
-            "request_id",
-            card_set(F.col("partial_deck")).alias("cards"),
-            F.col("num_recommendations").alias("wanted"),
-        )
+    return requests.where(_wanted().between(MIN_CARDS, MAX_CARDS) & _good_size()).select(
+        "request_id", card_set(F.col("partial_deck")).alias("cards"), _wanted().alias("wanted")
     )
 
 
@@ -83,7 +83,7 @@ def recommend_pooled(
         popular_cards(matrix)
         .orderBy(F.desc("total_appearances"), "next_card")
         .limit(MAX_CARDS + MAX_DECK)
-        .agg(F.array_sort(F.collect_list(F.struct(
+        .agg(F.sort_array(F.collect_list(F.struct(
             (-F.col("total_appearances")).alias("order"),
             F.col("next_card").alias("card_id"),
             F.col("effectiveness_score").alias("score_sum"),

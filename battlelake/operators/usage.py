@@ -39,7 +39,7 @@ def card_usage_total(flat: DataFrame, cards: DataFrame) -> DataFrame:
 def deck_usage(flat: DataFrame) -> DataFrame:
     return (
         all_decks(flat)
-        .groupBy(F.array_sort("deck").alias("deck"))
+        .groupBy(F.sort_array("deck").alias("deck"))
         .agg(F.count(F.lit(1)).alias("usage"))
     )
 
@@ -52,7 +52,7 @@ def deck_usage_daily_top_sum(flat: DataFrame, per_day: int = DAILY_TOP) -> DataF
     """Earlier report: only the first decks of each day count, summed over the days."""
     daily = (
         all_decks(flat, "battle_date")
-        .groupBy("battle_date", F.array_sort("deck").alias("deck"))
+        .groupBy("battle_date", F.sort_array("deck").alias("deck"))
         .agg(F.count(F.lit(1)).alias("usage"))
     )
     place = F.row_number().over(

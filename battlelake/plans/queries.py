@@ -160,14 +160,14 @@ def _matched(df: DataFrame) -> DataFrame:
 @query
 def jaccard_matches(spark, sf_dir):
     state = training.start(_battles(spark, sf_dir))
-    sets = recommend.request_sets(_requests(spark, sf_dir))
+    sets = cut_lineage(recommend.request_sets(_requests(spark, sf_dir)))
     return _matched(matching.similar_patterns(sets, state.mapping)).withColumns(_six("score"))
 
 
 @query
 def best_overlap_match(spark, sf_dir):
     state = training.start(_battles(spark, sf_dir))
-    sets = recommend.request_sets(_requests(spark, sf_dir))
+    sets = cut_lineage(recommend.request_sets(_requests(spark, sf_dir)))
     return _matched(matching.best_overlaps(sets, state.mapping))
 
 
@@ -328,13 +328,10 @@ def deck_filter(spark, sf_dir):
 
 def _multi_hot(spark: SparkSession, sf_dir: str, legacy: bool) -> DataFrame:
     places = decks.card_index_map(fixtures.card_dim(spark))
-    wide = decks.multi_hot_battles(_flat(spark, sf_dir), places, TEAM_WIDTH, OPPONENT_WIDTH, legacy)
-    return wide.select(
-        "battle_id",
-        deck_fn.bits(F.col("p1_cards")).alias("p1_cards"),
-        deck_fn.bits(F.col("p2_cards")).alias("p2_cards"),
-        "unknown_cards",
+    wide = decks.multi_hot_battles(
+        _flat(spark, sf_dir), places, TEAM_WIDTH, OPPONENT_WIDTH, legacy, as_text=True
     )
+    return wide.select("battle_id", "p1_cards", "p2_cards", "unknown_cards")
 
 
 @query

@@ -55,11 +55,14 @@ def work_path(spark: SparkSession, purpose: str) -> str:
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:
-    """Reliable checkpoint: later steps read stored rows, also after an executor is lost."""
-    spark = df.sparkSession
-    if spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(shared_dir(spark))
-    return df.checkpoint(eager=True)
+    """Write the rows to the shared folder and go on from there.
+
+    Later steps read stored rows, also after an executor is lost; being parquet, they read only the columns
+    they use, and the planner knows the table's size.
+    """
+    path = work_path(df.sparkSession, "step")
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def shuffle_width(spark: SparkSession) -> int:

@@ -5,10 +5,9 @@ The same formulas are written in SQL in ``plans/oracle.py``, so both engines see
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from battlelake.functions.decks import pattern_of
-from battlelake.schemas import DECK_SIZE, TIME_FORMAT
+from battlelake.schemas import DECK_SIZE, EVENTS, TIME_FORMAT
 
 PLAYERS = 150
 CARDS = 121
@@ -17,53 +16,48 @@ FIRST_CARD = 26000000
 
 
 def read_events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/events.parquet")
+    return spark.read.schema(EVENTS).parquet(f"{sf_dir}/events.parquet")
 
 
-def _deck(archetype: Column) -> list[Column]:
-    return [
-        (F.lit(FIRST_CARD) + (archetype * 5 + i * (1 + archetype % 4)) % CARDS).cast("int")
-        for i in range(DECK_SIZE)
-    ]
-
-
-def _side_deck(archetype: Column, reverse: Column) -> Column:
-    cards = _deck(archetype)
-    return F.when(reverse, F.array(*cards[::-1])).otherwise(F.array(*cards))
-
-
-def _tag(user: Column) -> Column:
-    return F.concat(F.lit("P"), F.lpad(user.cast("string"), 5, "0"))
+def _deck(start: str, step: str) -> str:
+    # A lambda keeps the generated code small wherever the deck is used more than once.
+    places = ", ".join(str(i) for i in range(DECK_SIZE))
+    return f"transform(array({places}), i -> {FIRST_CARD} + ({start} + i * {step}) % {CARDS})"
 
 
 def battles_flat_from(events: DataFrame) -> DataFrame:
-    """One battle per event; works on a static and on a streaming table of events."""
-    e, u = F.col("event_id"), F.col("user_id")
-    u2 = F.col("u2")
-    mode = (
-        F.when(F.col("event_type") == "click", 72000006)
-        .when(F.col("event_type") == "view", 72000323)
-        .when(F.col("event_type") == "purchase", 72000010)
-        .when(F.col("event_type") == "signup", 72000201)
-        .otherwise(72999999)
-    )
+    """One battle per event; works on a static and on a streaming table of events.
+
+    A deck is an arithmetic series of cards: its archetype gives the first card and the step, and reversed
+    decks start at the last card and step back.
+    """
+    last = DECK_SIZE - 1
     return (
-        events.select("event_id", "ts", "user_id", "event_type")
-        .withColumn("u2", (u + 1 + (e * 7) % (PLAYERS - 1)) % PLAYERS)
-        .withColumn("a1", (u + e % 3) % 40)
-        .withColumn("a2", (u2 + e % 5) % 40)
-        .select(
-            e.alias("battle_id"),
-            F.date_format("ts", TIME_FORMAT).alias("battle_time"),
-            mode.alias("game_mode"),
-            _tag(u).alias("p1_tag"),
-            (5000 + (u * 37) % 3000 + e % 60).cast("int").alias("p1_trophies"),
-            ((e * 7 + u) % 4).cast("int").alias("p1_crowns"),
-            _side_deck(F.col("a1"), e % 7 == 0).alias("p1_deck"),
-            _tag(u2).alias("p2_tag"),
-            (5000 + (u2 * 37) % 3000 + (e * 3) % 60).cast("int").alias("p2_trophies"),
-            ((e * 5 + u2 * 3) % 4).cast("int").alias("p2_crowns"),
-            _side_deck(F.col("a2"), e % 7 == 3).alias("p2_deck"),
+        events.selectExpr(
+            "event_id AS e", "user_id AS u", "ts", "event_type",
+            f"(user_id + 1 + (event_id * 7) % {PLAYERS - 1}) % {PLAYERS} AS u2",
+        )
+        .selectExpr("*", "int((u + e % 3) % 40) AS a1", "int((u2 + e % 5) % 40) AS a2")
+        .selectExpr(
+            "*",
+            f"a1 * 5 + IF(e % 7 = 0, {last} * (1 + a1 % 4), 0) AS start1",
+            f"a2 * 5 + IF(e % 7 = 3, {last} * (1 + a2 % 4), 0) AS start2",
+            "IF(e % 7 = 0, -1, 1) * (1 + a1 % 4) AS step1",
+            "IF(e % 7 = 3, -1, 1) * (1 + a2 % 4) AS step2",
+        )
+        .selectExpr(
+            "e AS battle_id",
+            f"date_format(ts, \"{TIME_FORMAT}\") AS battle_time",
+            "CASE event_type WHEN 'click' THEN 72000006 WHEN 'view' THEN 72000323 WHEN 'purchase' THEN 72000010"
+            " WHEN 'signup' THEN 72000201 ELSE 72999999 END AS game_mode",
+            "concat('P', lpad(string(u), 5, '0')) AS p1_tag",
+            "int(5000 + (u * 37) % 3000 + e % 60) AS p1_trophies",
+            "int((e * 7 + u) % 4) AS p1_crowns",
+            f"{_deck('start1', 'step1')} AS p1_deck",
+            "concat('P', lpad(string(u2), 5, '0')) AS p2_tag",
+            "int(5000 + (u2 * 37) % 3000 + (e * 3) % 60) AS p2_trophies",
+            "int((e * 5 + u2 * 3) % 4) AS p2_crowns",
+            f"{_deck('start2', 'step2')} AS p2_deck",
         )
     )
 
@@ -71,14 +65,12 @@ def battles_flat_from(events: DataFrame) -> DataFrame:
 def nest(flat: DataFrame) -> DataFrame:
     """Flat columns to the nested battle record (``battle_id`` is kept beside it)."""
 
-    def player(side: str) -> Column:
-        return F.struct(*[
-            F.col(f"{side}_{name}").alias(name) for name in ("tag", "trophies", "crowns", "deck")
-        ])
+    def player(side: str, name: str) -> str:
+        fields = ", ".join(f"'{field}', {side}_{field}" for field in ("tag", "trophies", "crowns", "deck"))
+        return f"named_struct({fields}) AS {name}"
 
-    return flat.select(
-        "battle_id", "battle_time", "game_mode",
-        player("p1").alias("player1"), player("p2").alias("player2"),
+    return flat.selectExpr(
+        "battle_id", "battle_time", "game_mode", player("p1", "player1"), player("p2", "player2")
     )
 
 
@@ -156,25 +148,12 @@ def requests(flat: DataFrame) -> DataFrame:
 
     Every 17th request asks for cards that no deck has, every 19th mixes one such card in.
     """
-    r = F.col("battle_id")
-    size = (r % 10).cast("int")
-    strange = F.array((F.lit(29000000) + r % 3).cast("int"))
-    plain = F.slice("p1_deck", 1, size)
-    deck = (
-        F.when(r % 17 == 0, strange)
-        .when(r % 19 == 0, F.concat(F.slice("p1_deck", 1, F.least(size, F.lit(6))), strange))
-        .otherwise(plain)
+    return flat.selectExpr(
+        "battle_id AS request_id",
+        "concat("
+        " slice(p1_deck, 1, CASE WHEN battle_id % 17 = 0 THEN 0"
+        "   WHEN battle_id % 19 = 0 THEN least(int(battle_id % 10), 6) ELSE int(battle_id % 10) END),"
+        " slice(array(int(29000000 + battle_id % 3)), 1,"
+        "   IF(battle_id % 17 = 0 OR battle_id % 19 = 0, 1, 0))) AS partial_deck",
+        "IF(battle_id % 13 <> 12, int(battle_id % 12), NULL) AS num_recommendations",
     )
-    return flat.select(
-        r.alias("request_id"),
-        deck.alias("partial_deck"),
-        F.when(r % 13 != 12, (r % 12).cast("int")).alias("num_recommendations"),
-    )
-
-
-def flat_text(flat: DataFrame) -> DataFrame:
-    """Decks as comma-joined text, the form that both engines compare."""
-    return flat.withColumns({
-        "p1_deck": pattern_of(F.col("p1_deck")),
-        "p2_deck": pattern_of(F.col("p2_deck")),
-    })

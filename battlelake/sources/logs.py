@@ -113,7 +113,7 @@ def flat_to_csv(flat: DataFrame) -> DataFrame:
 def write_sorted_csv(rows: DataFrame, path: str, mode: str = "errorifexists") -> None:
     """Distinct rows in time order across files, gzip CSV without header."""
     (
-        rows.distinct().repartitionByRange("battle_time").sortWithinPartitions(*rows.columns)
+        rows.distinct().repartitionByRange(*rows.columns).sortWithinPartitions(*rows.columns)
         .write.mode(mode).option("compression", "gzip").csv(path)
     )
 

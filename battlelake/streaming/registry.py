@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from battlelake.functions.values import battle_ts
 from battlelake.schemas import REGISTRY
@@ -33,7 +33,9 @@ def row(
 
 def upsert(existing: DataFrame, new: DataFrame, key: str = "model_name") -> DataFrame:
     """New rows replace those of the same name."""
-    return existing.join(new.select(key), key, "left_anti").select(*new.columns).unionByName(new)
+    both = existing.withColumn("is_new", F.lit(0)).unionByName(new.withColumn("is_new", F.lit(1)))
+    place = F.row_number().over(Window.partitionBy(key).orderBy(F.desc("is_new")))
+    return both.withColumn("place", place).where(F.col("place") == 1).drop("place", "is_new")
 
 
 def append(existing: DataFrame, new: DataFrame) -> DataFrame:
@@ -64,7 +66,7 @@ def profile(mapping: DataFrame, matrix: DataFrame) -> DataFrame:
 def audit_log(requests: DataFrame, recommendations: DataFrame) -> DataFrame:
     """Each answered request with its recommendations in order (at most ten per request)."""
     answers = recommendations.groupBy("request_id").agg(
-        F.array_sort(F.collect_list(F.struct("place", "card_id", "score"))).alias("recommendations")
+        F.sort_array(F.collect_list(F.struct("place", "card_id", "score"))).alias("recommendations")
     )
     return requests.select("request_id", "partial_deck").join(answers, "request_id")
 

@@ -41,4 +41,4 @@ def service_logs(spark: SparkSession, path: str) -> DataFrame:
 
 def stage_records(records: DataFrame, path: str, files: int, order_by: str) -> None:
     """Write records (column ``value``) as ``files`` files in the order of another column."""
-    records.repartitionByRange(files, order_by).select(F.col("value")).write.text(path)
+    records.repartitionByRange(files, order_by, "value").select(F.col("value")).write.text(path)
