@@ -48,7 +48,7 @@ class StateTables:
         return State(read(f"{base}/mapping"), read(f"{base}/moments"), read(f"{base}/last_moments"))
 
     def apply(self, battles: DataFrame, batch_id: int, with_model: bool = False) -> bool:
-        """Add one batch; False when it was already applied."""
+        """Add one batch; False when it was already applied or holds no sequence."""
         number = self.latest_version()
         if number is not None and number >= batch_id:
             return False
@@ -56,6 +56,8 @@ class StateTables:
         state = self.load()
         self._save(batch_moments(battles), f"{base}/last_moments")
         fresh = self.spark.read.parquet(f"{base}/last_moments")
+        if fresh.isEmpty():
+            return False
         if state is None:
             mapping, moments = new_mapping(fresh), fresh
         else:
