@@ -41,14 +41,19 @@ def new_mapping(patterns: DataFrame) -> DataFrame:
     return dense_ids(patterns.select("deck_pattern").distinct(), "deck_pattern", "deck_pattern_id")
 
 
-def extend_mapping(mapping: DataFrame, patterns: DataFrame) -> DataFrame:
-    """Known patterns keep their id; unknown ones follow after the highest id, in pattern order."""
+def added_ids(mapping: DataFrame, patterns: DataFrame) -> DataFrame:
+    """Ids of the patterns not in the mapping, after its highest id, in pattern order."""
     unknown = (
         patterns.select("deck_pattern").distinct().join(mapping, "deck_pattern", "left_anti")
     )
     highest = mapping.agg(F.max("deck_pattern_id")).first()[0] or 0
-    added = dense_ids(unknown, "deck_pattern", "deck_pattern_id", start=highest)
-    return mapping.select("deck_pattern", "deck_pattern_id").unionByName(added)
+    return dense_ids(unknown, "deck_pattern", "deck_pattern_id", start=highest)
+
+
+def extend_mapping(mapping: DataFrame, patterns: DataFrame) -> DataFrame:
+    """Known patterns keep their id; unknown ones are added."""
+    known = mapping.select("deck_pattern", "deck_pattern_id")
+    return known.unionByName(added_ids(mapping, patterns))
 
 
 def with_pattern_ids(by_pattern: DataFrame, mapping: DataFrame) -> DataFrame:

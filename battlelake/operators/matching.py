@@ -46,25 +46,38 @@ def _check_width(cards: str):
     return F.when(too_wide, F.raise_error(F.lit(f"more than {MAX_SET_SIZE} cards"))).otherwise(F.col(cards))
 
 
-def similar_patterns(request_sets: DataFrame, mapping: DataFrame, top_n: int = TOP_PATTERNS) -> DataFrame:
-    """Best ``top_n`` patterns per request set by Jaccard score, ties by lower id.
+def subset_index(mapping: DataFrame, top_n: int = TOP_PATTERNS, wanted: DataFrame | None = None) -> DataFrame:
+    """Per card subset the ``top_n`` patterns that can win: ``shared, deck_pattern_id, known_size``.
 
-    ``request_sets``: distinct sorted arrays in ``cards``. All patterns qualify: with fewer than ``top_n``
-    overlapping ones, the lowest ids with score 0 follow.
+    It depends on the mapping alone and can be stored with it. With ``wanted`` (column ``shared``) only the
+    subsets some request has are built.
     """
-    requested = request_sets.select("cards", _check_width("cards").alias("subset_of"))
-    wanted = _by_subset(requested, "subset_of")
     known = _known_sets(mapping, top_n).withColumn("known", _check_width("known"))
+    rows = _by_subset(known, "known")
+    if wanted is not None:
+        rows = rows.join(wanted.select("shared").distinct(), "shared", "left_semi")
     place = F.row_number().over(
         Window.partitionBy("shared").orderBy("known_size", "deck_pattern_id")
     )
-    index = (
-        _by_subset(known, "known")
-        .join(wanted.select("shared").distinct(), "shared", "left_semi")
-        .withColumn("place", place)
-        .where(F.col("place") <= top_n)
-        .drop("place")
+    # The limit is applied in every task before the shuffle, so a subset of popular cards stays small.
+    return rows.withColumn("place", place).where(F.col("place") <= top_n).select(
+        "shared", "deck_pattern_id", "known_size"
     )
+
+
+def similar_patterns(
+    request_sets: DataFrame, mapping: DataFrame, top_n: int = TOP_PATTERNS, index: DataFrame | None = None,
+) -> DataFrame:
+    """Best ``top_n`` patterns per request set by Jaccard score, ties by lower id.
+
+    ``request_sets``: distinct sorted arrays in ``cards``. All patterns qualify: with fewer than ``top_n``
+    overlapping ones, the lowest ids with score 0 follow. ``index``: a stored ``subset_index``, else one is
+    built for the requests at hand.
+    """
+    requested = request_sets.select("cards", _check_width("cards").alias("subset_of"))
+    wanted = _by_subset(requested, "subset_of")
+    if index is None:
+        index = subset_index(mapping, top_n, wanted)
     overlapping = wanted.join(index, "shared").select(
         "cards", "deck_pattern_id", "known_size", F.size("shared").alias("overlap")
     )

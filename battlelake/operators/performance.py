@@ -75,3 +75,8 @@ def prefix_rows(decks: DataFrame) -> DataFrame:
 
 def deck_sequences(results: DataFrame) -> DataFrame:
     return prefix_rows(results.select("battle_id", "side", "deck", "performance_score"))
+
+
+def known_patterns(results: DataFrame) -> DataFrame:
+    """Distinct patterns, built from distinct decks."""
+    return prefix_rows(results.select("deck").distinct()).select("deck_pattern").distinct()

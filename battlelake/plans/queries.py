@@ -133,7 +133,8 @@ def effectiveness_matrix_legacy(spark, sf_dir):
 
 @query
 def pattern_mapping(spark, sf_dir):
-    return mapping.new_mapping(training.batch_moments(_battles(spark, sf_dir)))
+    results = performance.player_results(_battles(spark, sf_dir))
+    return mapping.new_mapping(performance.known_patterns(results))
 
 
 @query

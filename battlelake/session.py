@@ -3,7 +3,10 @@
 from __future__ import annotations
 
 import tempfile
+import threading
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -54,6 +57,29 @@ def work_path(spark: SparkSession, purpose: str) -> str:
     return f"{shared_dir(spark)}/{purpose}-{uuid.uuid4().hex}"
 
 
+_scopes = threading.local()
+
+
+def hadoop_path(spark: SparkSession, path: str):
+    """The path and its file system, as the cluster sees them."""
+    context = spark.sparkContext
+    target = context._jvm.org.apache.hadoop.fs.Path(path)
+    return target, target.getFileSystem(context._jsc.hadoopConfiguration())
+
+
+@contextmanager
+def step_scope(spark: SparkSession) -> Iterator[None]:
+    """Delete the steps stored inside the block when it ends; its results must be written by then."""
+    outer, _scopes.paths = getattr(_scopes, "paths", None), []
+    try:
+        yield
+    finally:
+        for path in _scopes.paths:
+            target, files = hadoop_path(spark, path)
+            files.delete(target, True)
+        _scopes.paths = outer
+
+
 def cut_lineage(df: DataFrame) -> DataFrame:
     """Write the rows to the shared folder and go on from there.
 
@@ -62,6 +88,8 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     """
     path = work_path(df.sparkSession, "step")
     df.write.parquet(path)
+    if getattr(_scopes, "paths", None) is not None:
+        _scopes.paths.append(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 

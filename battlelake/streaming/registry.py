@@ -71,6 +71,11 @@ def audit_log(requests: DataFrame, recommendations: DataFrame) -> DataFrame:
     return requests.select("request_id", "partial_deck").join(answers, "request_id")
 
 
+def write_audit_log(log: DataFrame, path: str) -> None:
+    """Append answered requests with the time they were answered."""
+    log.withColumn("request_timestamp", F.current_timestamp()).write.mode("append").parquet(path)
+
+
 def verify_saved(df: DataFrame, path: str) -> tuple[int, list[str]]:
     """Read a saved table back: its rows and columns, after checking that both equal what was saved."""
     spark = df.sparkSession

@@ -9,10 +9,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from battlelake.operators import als
-from battlelake.plans.training import State, batch_moments
-from battlelake.operators.mapping import extend_mapping, new_mapping
+from battlelake.operators.mapping import added_ids, new_mapping
 from battlelake.operators.matrix import merge_moments
-from battlelake.session import cut_lineage
+from battlelake.plans.training import State, batch_moments
+from battlelake.session import cut_lineage, hadoop_path, step_scope
 from battlelake.streaming import registry
 
 
@@ -23,62 +23,64 @@ class StateTables:
     def _version(self, number: int) -> str:
         return f"{self.path}/versions/version={number}"
 
-    def _exists(self, path: str) -> bool:
-        jvm = self.spark.sparkContext._jvm
-        target = jvm.org.apache.hadoop.fs.Path(path)
-        files = target.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration())
-        return files.exists(target)
-
     def rows(self) -> DataFrame:
         """Registry rows of every saved version, with their number."""
         return self.spark.read.option("basePath", f"{self.path}/registry").parquet(f"{self.path}/registry")
 
     def latest_version(self) -> int | None:
-        if not self._exists(f"{self.path}/registry"):
+        target, files = hadoop_path(self.spark, f"{self.path}/registry")
+        if not files.exists(target):
             return None
         return self.rows().agg(F.max("version")).first()[0]
 
+    def _mapping(self, number: int) -> DataFrame:
+        """Ids never change, so every version only adds a part to the mapping."""
+        parts = self.spark.read.option("basePath", f"{self.path}/mapping").parquet(f"{self.path}/mapping")
+        return parts.where(F.col("version") <= number).drop("version")
+
     def load(self) -> State | None:
         """The latest state, or None before the first batch."""
         number = self.latest_version()
         if number is None:
             return None
-        read = self.spark.read.parquet
         base = self._version(number)
-        return State(read(f"{base}/mapping"), read(f"{base}/moments"), read(f"{base}/last_moments"))
+        return State(
+            self._mapping(number),
+            self.spark.read.parquet(f"{base}/moments"),
+            self.spark.read.parquet(f"{base}/last_moments"),
+        )
 
     def apply(self, battles: DataFrame, batch_id: int, with_model: bool = False) -> bool:
         """Add one batch; False when it was already applied or holds no sequence."""
         number = self.latest_version()
         if number is not None and number >= batch_id:
             return False
+        with step_scope(self.spark):
+            return self._apply(battles, batch_id, with_model)
+
+    def _apply(self, battles: DataFrame, batch_id: int, with_model: bool) -> bool:
         base = self._version(batch_id)
         state = self.load()
-        self._save(batch_moments(battles), f"{base}/last_moments")
-        fresh = self.spark.read.parquet(f"{base}/last_moments")
+        fresh = self._saved(batch_moments(battles), f"{base}/last_moments")
         if fresh.isEmpty():
             return False
-        if state is None:
-            mapping, moments = new_mapping(fresh), fresh
-        else:
-            mapping = extend_mapping(state.mapping, fresh)
-            moments = merge_moments(state.moments, fresh)
-        self._save(mapping, f"{base}/mapping")
-        self._save(moments, f"{base}/moments")
+        added = new_mapping(fresh) if state is None else added_ids(state.mapping, fresh)
+        self._saved(added, f"{self.path}/mapping/version={batch_id}")
+        moments = fresh if state is None else merge_moments(state.moments, fresh)
+        saved = State(self._mapping(batch_id), self._saved(moments, f"{base}/moments"), fresh)
         paths = {
-            "mapping_path": f"{base}/mapping", "matrix_path": f"{base}/last_moments",
+            "mapping_path": f"{self.path}/mapping", "matrix_path": f"{base}/last_moments",
             "training_path": f"{base}/moments",
         }
         if with_model:
-            saved = State(*(self.spark.read.parquet(f"{base}/{t}") for t in ("mapping", "moments", "last_moments")))
-            als.save(als.fit(cut_lineage(saved.matrix())), f"{base}/model")
             paths["model_path"] = f"{base}/model"
+            als.save(als.fit(cut_lineage(saved.matrix())), paths["model_path"])
         row = registry.row(
-            self.model_name, battles.agg(F.max("battle_time")),
-            self.spark.read.parquet(f"{base}/mapping"), self.spark.read.parquet(f"{base}/moments"), paths,
+            self.model_name, battles.agg(F.max("battle_time")), saved.mapping, saved.moments, paths
         )
         row.write.mode("overwrite").parquet(f"{self.path}/registry/version={batch_id}")
         return True
 
-    def _save(self, df: DataFrame, path: str) -> None:
+    def _saved(self, df: DataFrame, path: str) -> DataFrame:
         df.write.mode("overwrite").parquet(path)
+        return self.spark.read.schema(df.schema).parquet(path)

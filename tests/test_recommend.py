@@ -64,6 +64,9 @@ def test_matches_equal_brute_force(spark, seed, hot_share, cards, count):
         top[tuple(row["cards"])].append((row["deck_pattern_id"], row["score"]))
     for row in matching.best_overlaps(asked, known).collect():
         best[tuple(row["cards"])] = (row["deck_pattern_id"], row["overlap"])
+    stored = matching.similar_patterns(asked, known, index=matching.subset_index(known)).collect()
+    assert sorted((r["cards"], r["place"], r["deck_pattern_id"]) for r in stored) == sorted(
+        (list(k), i + 1, p) for k, found in top.items() for i, (p, _) in enumerate(found))
     for request in requests:
         key = tuple(sorted(request))
         assert top[key] == [(i, pytest.approx(s)) for i, s in brute_top(request, patterns, 5)]

@@ -52,6 +52,8 @@ def test_training_restarts_where_it_stopped(spark, battles, tmp_path):
     got = {(r[0], r[1]): r for r in scored(saved.moments).collect()}
     assert got.keys() == expected.keys()
     assert all(got[k]["total_appearances"] == r["total_appearances"] for k, r in expected.items())
+    assert sorted(r[0] for r in saved.mapping.select("deck_pattern_id").collect()) == list(
+        range(1, saved.mapping.count() + 1))
     # A batch that is run again changes nothing.
     assert state.apply(second, 1) is False
     latest = registry.latest(state.rows(), "continuous_als_model").first()
@@ -130,6 +132,30 @@ def test_row_sink_opens_one_connection_per_partition(spark, battles, tmp_path):
     assert len(lines) == 50 and len(lines[0]["player1"]["deck"]) == 8
 
 
+def test_steps_are_removed_with_their_scope(spark, tmp_path):
+    from battlelake.session import cut_lineage, hadoop_path, step_scope
+
+    with step_scope(spark):
+        stored = cut_lineage(spark.range(3))
+        assert stored.count() == 3
+        path = stored.inputFiles()[0].rsplit("/", 1)[0]
+    target, files = hadoop_path(spark, path)
+    assert not files.exists(target)
+    kept = cut_lineage(spark.range(4))
+    assert kept.count() == 4
+
+
+def test_audit_log_is_appended(spark, tmp_path):
+    requests = spark.createDataFrame([(1, [5]), (2, [6])], "request_id long, partial_deck array<int>")
+    answers = spark.createDataFrame(
+        [(1, 2, 8, 0.5), (1, 1, 7, 0.9)], "request_id long, place int, card_id int, score double")
+    log = registry.audit_log(requests, answers)
+    for _ in range(2):
+        registry.write_audit_log(log, str(tmp_path / "log"))
+    rows = spark.read.parquet(str(tmp_path / "log")).collect()
+    assert len(rows) == 2 and [r["card_id"] for r in rows[0]["recommendations"]] == [7, 8]
+
+
 def test_saved_tables_are_verified(spark, tmp_path):
     rows = spark.range(5)
     path = str(tmp_path / "t")
