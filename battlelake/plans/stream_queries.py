@@ -22,13 +22,13 @@ BROKEN_RECORDS = ['{"battle_time": ', '{"battle_time":"20240131T000000.000Z","ga
 
 
 def _staged(spark: SparkSession, battles: DataFrame) -> DataFrame:
-    """The battles and the broken records as a stream of record files."""
-    path = work_path(spark, "records")
-    good = logs.to_records(battles, "battle_time")
-    broken = spark.createDataFrame([("", text) for text in BROKEN_RECORDS], good.schema)
-    files = shuffle_width(spark)
-    sources.stage_records(good.unionByName(broken), path, files, "battle_time")
-    return sources.record_files(spark, path, files_per_batch=-(-files // MICRO_BATCHES))
+    """The battles and the broken records as a stream of record files, in time order."""
+    path, files = work_path(spark, "records"), shuffle_width(spark)
+    # Spread first, then write JSON: the text is built by all tasks, and once.
+    spread = battles.repartitionByRange(files, "battle_time", "battle_id")
+    broken = spark.createDataFrame([(text,) for text in BROKEN_RECORDS], "value string").coalesce(1)
+    logs.to_records(spread).unionByName(broken).write.text(path)
+    return sources.record_files(spark, path, files_per_batch=-(-(files + 1) // MICRO_BATCHES))
 
 
 def _finish(run: StreamingQuery) -> None:

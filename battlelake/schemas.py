@@ -46,6 +46,10 @@ REGISTRY = (
     " matrix_path string, training_path string, total_patterns bigint, total_training_samples bigint"
 )
 
+MAPPING = "deck_pattern string, deck_pattern_id int"
+
+MOMENTS = "deck_pattern string, next_card int, n bigint, s double, m2 double, len_sum bigint"
+
 EVENTS = (
     "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double, props string"
 )

@@ -69,10 +69,10 @@ def normalise_raw(records: DataFrame, value: str = "value") -> DataFrame:
     )
 
 
-def to_records(battles: DataFrame, *kept: str) -> DataFrame:
+def to_records(battles: DataFrame) -> DataFrame:
     """Battles as JSON text in ``value``, the form published to a topic."""
     fields = ["battle_time", "game_mode", "player1", "player2"]
-    return battles.select(*kept, F.to_json(F.struct(*fields)).alias("value"))
+    return battles.select(F.to_json(F.struct(*fields)).alias("value"))
 
 
 def read_battle_csv(spark: SparkSession, *paths: str, max_rows: int | None = None) -> DataFrame:

@@ -12,6 +12,7 @@ from battlelake.operators import als
 from battlelake.operators.mapping import added_ids, new_mapping
 from battlelake.operators.matrix import merge_moments
 from battlelake.plans.training import State, batch_moments
+from battlelake.schemas import MAPPING, MOMENTS, REGISTRY
 from battlelake.session import cut_lineage, hadoop_path, step_scope
 from battlelake.streaming import registry
 
@@ -25,7 +26,7 @@ class StateTables:
 
     def rows(self) -> DataFrame:
         """Registry rows of every saved version, with their number."""
-        return self.spark.read.option("basePath", f"{self.path}/registry").parquet(f"{self.path}/registry")
+        return self._parts("registry", REGISTRY)
 
     def latest_version(self) -> int | None:
         target, files = hadoop_path(self.spark, f"{self.path}/registry")
@@ -35,19 +36,20 @@ class StateTables:
 
     def _mapping(self, number: int) -> DataFrame:
         """Ids never change, so every version only adds a part to the mapping."""
-        parts = self.spark.read.option("basePath", f"{self.path}/mapping").parquet(f"{self.path}/mapping")
-        return parts.where(F.col("version") <= number).drop("version")
+        return self._parts("mapping", MAPPING).where(F.col("version") <= number).drop("version")
 
-    def load(self) -> State | None:
-        """The latest state, or None before the first batch."""
-        number = self.latest_version()
+    def _parts(self, table: str, schema: str) -> DataFrame:
+        path = f"{self.path}/{table}"
+        return self.spark.read.schema(schema).option("basePath", path).parquet(path)
+
+    def load(self, number: int | None = None) -> State | None:
+        """The state of a version, by default the latest; None before the first batch."""
+        number = self.latest_version() if number is None else number
         if number is None:
             return None
-        base = self._version(number)
+        base, read = self._version(number), self.spark.read.schema(MOMENTS)
         return State(
-            self._mapping(number),
-            self.spark.read.parquet(f"{base}/moments"),
-            self.spark.read.parquet(f"{base}/last_moments"),
+            self._mapping(number), read.parquet(f"{base}/moments"), read.parquet(f"{base}/last_moments")
         )
 
     def apply(self, battles: DataFrame, batch_id: int, with_model: bool = False) -> bool:
@@ -56,11 +58,11 @@ class StateTables:
         if number is not None and number >= batch_id:
             return False
         with step_scope(self.spark):
-            return self._apply(battles, batch_id, with_model)
+            return self._apply(battles, batch_id, number, with_model)
 
-    def _apply(self, battles: DataFrame, batch_id: int, with_model: bool) -> bool:
+    def _apply(self, battles: DataFrame, batch_id: int, number: int | None, with_model: bool) -> bool:
         base = self._version(batch_id)
-        state = self.load()
+        state = None if number is None else self.load(number)
         fresh = self._saved(batch_moments(battles), f"{base}/last_moments")
         if fresh.isEmpty():
             return False
