@@ -7,9 +7,14 @@ from pyspark.sql import Column, functions as F
 from battlelake.schemas import TIME_FORMAT
 
 
+# The same text form as TIME_FORMAT, taken apart without a time zone, so that no clock change moves a battle.
+_TIME_PARTS = r"^(\d{4})(\d{2})(\d{2})T(\d{2})(\d{2})(\d{2}\.\d{3})Z$"
+
+
 def battle_ts(battle_time: Column) -> Column:
     """Time stamp of the text form; null when it does not parse."""
-    return F.try_to_timestamp(battle_time, F.lit(TIME_FORMAT)).cast("timestamp_ntz")
+    plain = F.regexp_replace(battle_time, _TIME_PARTS, "$1-$2-$3 $4:$5:$6")
+    return F.when(battle_time.rlike(_TIME_PARTS), plain.try_cast("timestamp_ntz"))
 
 
 def event_time(battle_time: Column) -> Column:
@@ -19,12 +24,14 @@ def event_time(battle_time: Column) -> Column:
 
 def utc_date(instant: Column) -> Column:
     """Day in UTC of an instant, whatever the session's time zone."""
-    return F.convert_timezone(F.current_timezone(), F.lit("UTC"), instant.cast("timestamp_ntz")).cast("date")
+    days = F.floor(F.unix_seconds(instant) / 86400).cast("int")
+    return F.date_add(F.lit("1970-01-01").cast("date"), days)
 
 
 def battle_date(battle_time: Column) -> Column:
     """Day of the battle, read from the first eight characters; null when they are no date."""
-    return F.try_to_timestamp(F.substring(battle_time, 1, 8), F.lit("yyyyMMdd")).cast("date")
+    year, month, day = (F.substring(battle_time, start, n) for start, n in ((1, 4), (5, 2), (7, 2)))
+    return F.concat_ws("-", year, month, day).try_cast("date")
 
 
 def version_stamp(ts: Column) -> Column:

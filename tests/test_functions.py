@@ -88,6 +88,22 @@ def test_times_and_narrowing(spark):
     assert one(spark, values.floor_mean(F.lit(-3), F.lit(0))) == -2
 
 
+def test_times_do_not_depend_on_the_session_zone(spark):
+    zone = spark.conf.get("spark.sql.session.timeZone")
+    try:
+        for other, text in (("America/New_York", "20240310T023000.000Z"), ("Europe/London", "20241027T000000.000Z")):
+            spark.conf.set("spark.sql.session.timeZone", other)
+            time = F.lit(text)
+            row = spark.range(1).select(
+                values.battle_ts(time).cast("string"), values.battle_date(time).cast("string"),
+                values.utc_date(values.event_time(time)).cast("string"),
+            ).first()
+            day = f"{text[:4]}-{text[4:6]}-{text[6:8]}"
+            assert tuple(row) == (f"{day} {text[9:11]}:{text[11:13]}:{text[13:15]}", day, day)
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", zone)
+
+
 FLAT = (
     "battle_id long, battle_time string, game_mode int, p1_tag string, p1_trophies int, p1_crowns int,"
     " p1_deck array<int>, p2_tag string, p2_trophies int, p2_crowns int, p2_deck array<int>"
