@@ -32,7 +32,7 @@ from battlelake.llm.piece_cache import PieceCache
 MAX_RECURSIVE = 256
 
 #: Distinct pieces in one recursive query.
-PIECES_PER_QUERY = 40_000
+PIECES_PER_QUERY = 20_000
 
 CONTRACT = """
 WITH RECURSIVE step(piece, pos, token, live) AS (
@@ -82,7 +82,7 @@ class Codec:
             if token[:k] in self.ranks and token[k:] in self.ranks
         ]
         # One thread keeps the order in which string_agg meets its rows.
-        self.db = duckdb.connect(config={"threads": 1, "memory_limit": "300MB"})
+        self.db = duckdb.connect(config={"threads": 1, "memory_limit": "200MB"})
         self._table("merges_in", pair=pa.array([m[0] for m in merges], pa.int64()), merged=pa.array([m[1] for m in merges], pa.int32()))
         self.db.execute("CREATE TABLE merges AS SELECT * FROM merges_in")
         self._table("vocabulary_in", id=pa.array(self.ranks.values(), pa.int32()), bytes=pa.array([t.hex() for t in self.ranks]))

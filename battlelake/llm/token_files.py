@@ -26,16 +26,19 @@ from pyspark.sql import functions as F
 
 from battlelake import session
 from battlelake.llm import bpe_split, bytesets
-from battlelake.llm.piece_cache import PieceCache, gathered
+from battlelake.llm.piece_cache import PieceCache
 
 MAGIC = b"FRVB1\0\0\0"
 HEADER = struct.Struct("<8sQQQQ")
 
 #: Ids in one block, unless a single document has more.
-BLOCK_IDS = 2_000_000
+BLOCK_IDS = 1_000_000
 
 END_ID = 0
 
+#: Pieces that one call of the library encodes.
+LINES = 20_000
+
 #: Length of each of the four numbers that a control byte describes, and their sum.
 LENGTHS = (np.arange(256)[:, None] >> np.array([0, 2, 4, 6]) & 3) + 1
 TOTALS = LENGTHS.sum(axis=1)
@@ -132,10 +135,12 @@ class LibraryEncoder:
     def encode_pieces(self, pieces: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """Pieces with anything but white space are set on lines of one text: a line feed never joins a piece."""
         out: list[np.ndarray | None] = [None] * len(pieces)
-        lines = [i for i, p in enumerate(pieces) if not p.isspace() and "\n" not in p]
-        sizes = np.array([len(pieces[i].encode()) for i in lines], np.int64)
-        if lines:
-            ids = np.array(self.library.encode_batch_fast(["\n".join(pieces[i] for i in lines)], add_special_tokens=False)[0].ids, np.int32)
+        plain = [i for i, p in enumerate(pieces) if not p.isspace() and "\n" not in p]
+        for at in range(0, len(plain), LINES):
+            lines = plain[at:at + LINES]
+            sizes = np.array([len(pieces[i].encode()) for i in lines], np.int64)
+            text = "\n".join(pieces[i] for i in lines)
+            ids = np.array(self.library.encode_batch_fast([text], add_special_tokens=False)[0].ids, np.int32)
             ends = np.cumsum(self.bytes_of[ids])
             piece_ends = np.cumsum(sizes + 1) - 1
             stop = np.searchsorted(ends, piece_ends)
@@ -143,7 +148,7 @@ class LibraryEncoder:
                 raise RuntimeError("the library split a piece differently")
             start = np.concatenate(([0], stop[:-1] + 2))
             for i, a, b in zip(lines, start, stop + 1, strict=True):
-                out[i] = ids[a:b]
+                out[i] = ids[a:b].copy()
         for i, piece in enumerate(pieces):
             if out[i] is None:
                 out[i] = np.array(self.library.encode(piece, add_special_tokens=False).ids, np.int32)
@@ -156,7 +161,10 @@ def encoder(path: str) -> LibraryEncoder:
 
 
 def write(docs: DataFrame, path: str, out: str, end_id: int = END_ID, block_ids: int = BLOCK_IDS) -> None:
-    """Write the ids of all documents, each with ``end_id`` appended, in ascending doc_id order to the table ``out``."""
+    """Write the ids of all documents, each with ``end_id`` appended, in ascending doc_id order to the table ``out``.
+
+    A row has its task's number, its place among the task's blocks, the ids in those before it, its own, the block.
+    """
     rows = bytesets.only(docs, doc_id="bigint", text="string")
     ordered = rows.repartitionByRange("doc_id", "text").sortWithinPartitions("doc_id", "text")
 
@@ -165,13 +173,13 @@ def write(docs: DataFrame, path: str, out: str, end_id: int = END_ID, block_ids:
         doc_ids: list[int | None] = []
         counts: list[np.ndarray] = []
         ids: list[np.ndarray] = []
-        held = 0
+        held = before = 0
 
         def block() -> pa.RecordBatch:
-            nonlocal doc_ids, counts, ids, held, number
+            nonlocal doc_ids, counts, ids, held, before, number
             blob = Block.write(doc_ids, np.concatenate(counts), np.concatenate(ids))
-            row = [part_no, number, len(doc_ids), held, blob]
-            doc_ids, counts, ids, held, number = [], [], [], 0, number + 1
+            row = [part_no, number, before, held, blob]
+            doc_ids, counts, ids, held, before, number = [], [], [], 0, before + held, number + 1
             return pa.RecordBatch.from_arrays([pa.array([x], f.type) for x, f in zip(row, FIELDS, strict=True)], schema=FIELDS)
 
         for batch in batches:
@@ -188,10 +196,10 @@ def write(docs: DataFrame, path: str, out: str, end_id: int = END_ID, block_ids:
         if doc_ids:
             yield block()
 
-    bytesets.map_arrow(ordered, blocks, "part int, block int, docs long, ids long, data binary").write.parquet(out)
+    bytesets.map_arrow(ordered, blocks, "part int, block int, before long, ids long, data binary").write.parquet(out)
 
 
-FIELDS = pa.schema([("part", pa.int32()), ("block", pa.int32()), ("docs", pa.int64()), ("ids", pa.int64()), ("data", pa.binary())])
+FIELDS = pa.schema([("part", pa.int32()), ("block", pa.int32()), ("before", pa.int64()), ("ids", pa.int64()), ("data", pa.binary())])
 
 
 def read(spark: SparkSession, out: str) -> DataFrame:
@@ -199,12 +207,10 @@ def read(spark: SparkSession, out: str) -> DataFrame:
     stored = spark.read.parquet(out)
     # One sum for each part: as many rows as the writer had tasks, whatever the number of documents.
     sums = {r["part"]: r["ids"] for r in stored.groupBy("part").agg(F.sum("ids").alias("ids")).collect()}
-    before, total = {}, 0
+    earlier, total = {}, 0
     for part in sorted(sums):
-        before[part], total = total, total + sums[part]
-    within = F.sum("ids").over(_earlier_blocks())
-    starts = stored.select("part", "block", F.coalesce(within, F.lit(0)).alias("before"))
-    blocks = stored.select("part", "block", "data").join(starts, ["part", "block"])
+        earlier[part], total = total, total + sums[part]
+    blocks = stored.select("part", "before", "data")
 
     def documents(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -216,19 +222,13 @@ def read(spark: SparkSession, out: str) -> DataFrame:
                     lo, hi = int(ends[a] - counts[a]), int(ends[b - 1])
                     offsets = np.concatenate(([0], np.cumsum(counts[a:b]))).astype(np.int32)
                     yield pa.RecordBatch.from_arrays([
-                        pa.array(doc_ids[a:b], pa.int64()), pa.array(before[part] + at + ends[a:b] - counts[a:b], pa.int64()),
+                        pa.array(doc_ids[a:b], pa.int64()), pa.array(earlier[part] + at + ends[a:b] - counts[a:b], pa.int64()),
                         pa.ListArray.from_arrays(pa.array(offsets), pa.array(ids[lo:hi].astype(np.int32))),
                     ], names=["doc_id", "start", "ids"])
 
     return bytesets.map_arrow(blocks, documents, "doc_id long, start long, ids array<int>")
 
 
-def _earlier_blocks():
-    from pyspark.sql import Window
-
-    return Window.partitionBy("part").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
-
-
 def report(docs: DataFrame, path: str) -> DataFrame:
     """Write the files and read them back: doc_id, start, n_tokens, crc32 of the little-endian ids."""
     spark = docs.sparkSession
@@ -247,5 +247,3 @@ def report(docs: DataFrame, path: str) -> DataFrame:
 
     return bytesets.map_arrow(read(spark, out), sums, "doc_id long, start long, n_tokens long, ids_crc32 long")
 
-
-__all__ = ["Block", "gathered", "pack", "read", "report", "unpack", "write"]
