@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 #: Bytes of text that a task turns into arrays at a time; a longer single text is a slice of its own.
-SLICE_BYTES = 2 << 20
+SLICE_BYTES = 1 << 20
 
 _ODD = np.uint64(0x9E3779B97F4A7C15)
 _powers = np.ones(1, np.uint64)

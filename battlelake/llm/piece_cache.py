@@ -9,7 +9,7 @@ import numpy as np
 from battlelake.llm import bpe_split
 
 #: Pieces that a worker remembers; beyond it the memory starts anew, which changes no result.
-MAX_PIECES = 600_000
+MAX_PIECES = 400_000
 
 
 def gathered(flat: np.ndarray, starts: np.ndarray, counts: np.ndarray) -> np.ndarray:

@@ -1,6 +1,6 @@
 """Token ids in blocks of frequency-ranked, byte-aligned variable-length numbers with control bytes apart.
 
-Documents are dealt by ranges of (doc_id, text), encoded, and written in that order as self-contained blocks. A block
+Documents are dealt by ranges of (doc_id, hash of the text), encoded, and written in that order as self-contained blocks. A block
 ranks its own ids by frequency, so frequent ids take one byte; ranks are written in one to four bytes, four lengths
 to a control byte, control bytes before data bytes. Reading looks the lengths up in a table of 256 control bytes.
 
@@ -8,7 +8,7 @@ Blocks are rows of a parquet table, since Spark's writers reach every store; ``B
 Documents are read once; no count of the whole corpus is needed before the first byte is written.
 
 Defined cases: a null or empty text is only the end id; null doc_ids come first; rows of equal doc_id follow each
-other in order of their texts; an empty table gives no block.
+other in order of a hash of their texts; an empty table gives no block.
 """
 
 from __future__ import annotations
@@ -166,7 +166,9 @@ def write(docs: DataFrame, path: str, out: str, end_id: int = END_ID, block_ids:
     A row has its task's number, its place among the task's blocks, the ids in those before it, its own, the block.
     """
     rows = bytesets.only(docs, doc_id="bigint", text="string")
-    ordered = rows.repartitionByRange("doc_id", "text").sortWithinPartitions("doc_id", "text")
+    # Ranges are drawn from sampled keys, so the key has a hash in the text's place.
+    keyed = rows.withColumn("text_hash", F.xxhash64("text"))
+    ordered = keyed.repartitionByRange("doc_id", "text_hash").sortWithinPartitions("doc_id", "text_hash", "text").drop("text_hash")
 
     def blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own, part_no, number = encoder(path), TaskContext.get().partitionId(), 0
