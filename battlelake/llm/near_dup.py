@@ -5,7 +5,7 @@ A document is the set of its distinct runs of ``shingle`` words. Two sets are li
 
 1. *Prepare* (narrow): hash the shingles, take MinHash samples, fold the samples into an odd sketch (a parity bitmap
    of (sample, value) pairs), digest the whole set. Documents of equal sets become one node; only nodes go on.
-2. *Stars*: nodes meet in the buckets of their bands. Each is paired with its bucket's least node, so a bucket of n
+2. *Stars*: nodes meet in the buckets of their bands. Each is paired with its bucket's centre, so a bucket of n
    nodes gives n - 1 pairs. The population count of two sketches' XOR estimates how many samples differ; a pair far
    above the threshold's count goes.
 3. *Confirm* on full sets, the likeliest pair of each node first, then pairs that still join different components.
@@ -138,9 +138,14 @@ def _differing(a: str, b: str):
 
 
 def star_pairs(buckets: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
-    """(low, high, differing): each node with the least node of each of its buckets, if their sketches agree."""
-    centres = buckets.groupBy("band").agg(F.min("node").alias("low"), F.count("*").alias("n")).where("n > 1")
-    pairs = buckets.join(centres, "band").where("node <> low").select("low", F.col("node").alias("high")).distinct()
+    """(low, high, differing): each node with the centre of each of its buckets, if their sketches agree.
+
+    The bucket's own key decides which of its nodes is the centre, so nodes that share many buckets meet many centres.
+    """
+    centres = buckets.groupBy("band").agg(F.min(F.col("node").bitwiseXOR(F.col("band"))).alias("least"), F.count("*").alias("n")).where("n > 1")
+    centres = centres.select("band", F.col("least").bitwiseXOR(F.col("band")).alias("centre"))
+    pairs = buckets.join(centres, "band").where("node <> centre").select(
+        F.least("node", "centre").alias("low"), F.greatest("node", "centre").alias("high")).distinct()
     return _sifted(pairs, nodes, percent)
 
 
@@ -287,19 +292,19 @@ def components(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERCENT)
     buckets = session.cut_lineage(all_buckets.join(full, "band", "left_semi"))
 
     stars = session.cut_lineage(star_pairs(buckets, nodes, percent))
-    # Every star points to a smaller node, so one pair for each node makes a forest.
-    first = stars.groupBy("high").agg(F.min_by("low", F.struct("differing", "low")).alias("low"), F.min("differing").alias("differing"))
-    first = session.cut_lineage(first.select("low", "high", "differing"))
-    edges = session.cut_lineage(confirmed(first, docs, of_node, percent, shingle))
+    # The likeliest pair of each node, then the pairs that still join two components, then what no centre has seen.
+    # A pair that was looked at is decided; one inside a component changes nothing.
+    first = stars.groupBy("high").agg(F.min_by("low", F.struct("differing", "low")).alias("low"))
+    looked = session.cut_lineage(first.select("low", "high"))
+    edges = session.cut_lineage(confirmed(looked, docs, of_node, percent, shingle))
     labels = joined_components(edges)
-
-    others = stars.select("low", "high").unionByName(rest_pairs(buckets, nodes, labels, percent).select("low", "high")).distinct()
-    # What was looked at is decided; what lies inside a component changes nothing.
-    left = session.cut_lineage(_crossing(others.join(first.select("low", "high"), ["low", "high"], "left_anti"), labels))
-    if not left.isEmpty():
-        more = session.cut_lineage(confirmed(left, docs, of_node, percent, shingle))
-        if not more.isEmpty():
-            labels = joined_components(session.cut_lineage(edges.unionByName(more)))
+    for step in ("stars", "rest"):
+        pairs = stars if step == "stars" else rest_pairs(buckets, nodes, labels, percent)
+        left = session.cut_lineage(_crossing(pairs.select("low", "high").join(looked, ["low", "high"], "left_anti"), labels))
+        if not left.isEmpty():
+            looked = looked.unionByName(left)
+            edges = session.cut_lineage(edges.unionByName(confirmed(left, docs, of_node, percent, shingle)))
+            labels = joined_components(edges)
 
     least = labels.join(of_node, "node").groupBy("label").agg(F.min("doc_id").alias("component_id"))
     of_label = labels.join(least, "label").select("node", "component_id")
