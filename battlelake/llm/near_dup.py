@@ -192,8 +192,10 @@ def rest_pairs(buckets: DataFrame, nodes: DataFrame, labels: DataFrame, percent:
         return pd.DataFrame(found, columns=["low", "high", "differing"]).astype("int64").drop_duplicates()
 
     bytesets.ship(buckets.sparkSession)
-    groups = base.select(*columns).unionByName(asking.select(*columns)).groupBy("band", "block")
-    return groups.applyInPandas(compare, "low long, high long, differing long").distinct()
+    # A fixed number of parts: the rows are few bytes but much work, and would else be gathered into few tasks.
+    blocks_in = base.select(*columns).unionByName(asking.select(*columns))
+    dealt = blocks_in.repartition(session.shuffle_width(buckets.sparkSession), "band", "block").groupBy("band", "block")
+    return dealt.applyInPandas(compare, "low long, high long, differing long").distinct()
 
 
 def confirmed(pairs: DataFrame, docs: DataFrame, of_node: DataFrame, percent: int, shingle: int) -> DataFrame:

@@ -138,11 +138,12 @@ def judged(table: DataFrame) -> DataFrame:
     branches = both.groupBy("host", "branch").agg(F.sum("good").alias("good"), F.sum("bad").alias("bad"))
     hosts = branches.groupBy("host").agg(F.sum("good").alias("host_good"), F.sum("bad").alias("host_bad"))
     whole = hosts.agg(F.sum("host_good").alias("sum_good"), F.sum("host_bad").alias("sum_bad"))
-    # One row.
+    # One row, joined by a constant key.
+    whole = whole.withColumn("one", F.lit(1))
     prior = F.coalesce(F.try_divide("sum_good", F.col("sum_good") + F.col("sum_bad")), F.lit(1.0))
     host_rate = (F.col("host_good") + SMOOTHING * prior) / (F.col("host_good") + F.col("host_bad") + SMOOTHING)
     purity = (F.col("good") + SMOOTHING * host_rate) / (F.col("good") + F.col("bad") + SMOOTHING)
-    rated = branches.join(hosts, "host").join(F.broadcast(whole), F.lit(True)).select("host", "branch", F.round(purity, 9).alias("purity"))
+    rated = branches.join(hosts, "host").withColumn("one", F.lit(1)).join(whole, "one").select("host", "branch", F.round(purity, 9).alias("purity"))
     verdict = F.when(F.col("purity") < LEAST_PURITY, "block").otherwise("allow")
     return both.select("host", "template", "branch").join(rated, ["host", "branch"]).select(
         "host", "template", "branch", "purity", verdict.alias("verdict"))
