@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from battlelake.functions.decks import pattern_of
-from battlelake.functions.scoring import inverted, outcome, trophy_boost
+from battlelake.functions.scoring import outcome, trophy_boost
 
 
 def flatten(battles: DataFrame) -> DataFrame:
@@ -20,10 +20,9 @@ def flatten(battles: DataFrame) -> DataFrame:
 
 
 def with_outcomes(flat: DataFrame) -> DataFrame:
-    result = outcome(F.col("p1_crowns"), F.col("p2_crowns"))
-    return flat.withColumn("p1_outcome", result).withColumn(
-        "p2_outcome", inverted(F.col("p1_outcome"))
-    )
+    """Each player's outcome from their own crowns and the other's."""
+    p1, p2 = F.col("p1_crowns"), F.col("p2_crowns")
+    return flat.withColumns({"p1_outcome": outcome(p1, p2), "p2_outcome": outcome(p2, p1)})
 
 
 def player_results(battles: DataFrame, legacy: bool = False) -> DataFrame:

@@ -12,7 +12,7 @@ def plan(df):
     return df._jdf.queryExecution().executedPlan().toString()
 
 
-BATCH = [n for n in entry_points.queries() if not n.startswith(("stream_", "als_", "log_", "model_", "csv_"))]
+BATCH = [n for n in Q.QUERIES if not n.startswith(("stream_", "als_", "log_", "model_", "csv_"))]
 
 
 @pytest.mark.parametrize("name", BATCH)
