@@ -10,8 +10,9 @@ A document is the set of its distinct runs of ``shingle`` words. Two sets are li
    above the threshold's count goes.
 3. *Confirm* on full sets, the likeliest pair of each node first, then pairs that still join different components.
 4. *The rest*: where a bucket holds several components, its nodes outside the largest one are compared with all
-   nodes of other components, sketch against sketch inside blocks of the bucket. Only pairs that pass become rows, so
-   no link is lost to the choice of centres and a bucket that is one component costs nothing.
+   nodes of other components inside blocks of the bucket: sketch against sketch, then set against set. Only links
+   become rows, so no link is lost to the choice of centres, near misses cost no row, and a bucket that is one
+   component costs nothing.
 
 A pair at the threshold misses all bands with probability (1 - 0.8**4)**25 = 2e-6; sketches are cut at six standard
 deviations. Sets are compared by 64-bit hashes of their shingles.
@@ -43,8 +44,8 @@ SAMPLES = BANDS * ROWS
 SKETCH_WORDS = 8
 SKETCH_BITS = 64 * SKETCH_WORDS
 
-#: Nodes of a bucket that are compared with the bucket's other components in one task.
-BLOCK = 2048
+#: Shingles, in all, of the nodes on one side of a block of a bucket (16 MB of hashes).
+BLOCK = 2**21
 
 SPACES = np.zeros(256, bool)
 SPACES[0x20] = True
@@ -158,44 +159,92 @@ def _sifted(pairs: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
     )
 
 
-def rest_pairs(buckets: DataFrame, nodes: DataFrame, labels: DataFrame, percent: int) -> DataFrame:
-    """(low, high, differing): nodes of one bucket but different components whose sketches agree.
+def rest_links(buckets: DataFrame, nodes: DataFrame, labels: DataFrame, docs: DataFrame, percent: int, shingle: int) -> DataFrame:
+    """(low, high): linked nodes of one bucket but different components, enough of them to join those components.
 
-    ``labels`` has (node, label) of the nodes that are not alone.
+    ``labels`` has (node, label) of the nodes that are not alone. The nodes outside a bucket's largest component ask
+    all nodes of the others, in a grid of blocks bounded by the sets they hold. A pair is looked at in its first
+    common bucket only, sketches first, then the full sets; a block gives at most one link per component it joins.
     """
-    labelled = buckets.join(labels, "node", "left").select("band", "node", F.coalesce("label", "node").alias("label"))
-    sizes = labelled.groupBy("band", "label").agg(F.count("*").alias("n"))
+    labelled = buckets.join(labels, "node", "left").join(nodes.select("node", "n_shingles"), "node").select(
+        "band", "node", F.coalesce("label", "node").alias("label"), "n_shingles")
+    sizes = labelled.groupBy("band", "label").agg(F.sum("n_shingles").alias("n"))
     mixed_buckets = sizes.groupBy("band").agg(
-        F.count("*").alias("parts"), F.sum("n").alias("n"), F.max_by("label", F.struct("n", "label")).alias("largest")).where("parts > 1")
-    blocks = F.ceil(F.col("n") / F.lit(BLOCK)).cast("int")
-    members = labelled.join(mixed_buckets, "band").select(
-        "band", "node", "label", (F.col("label") != F.col("largest")).alias("asks"), blocks.alias("blocks"))
-    members = members.join(nodes.select("node", "sketch"), "node")
-    base = members.withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")).withColumn("asks", F.lit(False))
-    asking = members.where("asks").withColumn("block", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    columns = ["band", "block", "node", "label", "asks", "sketch"]
+        F.count("*").alias("parts"), F.sum("n").alias("n"), F.max("n").alias("most"),
+        F.max_by("label", F.struct("n", "label")).alias("largest")).where("parts > 1")
+    blocks = lambda n: F.ceil(n / F.lit(BLOCK)).cast("int")
+    members = session.cut_lineage(labelled.join(mixed_buckets, "band").select(
+        "band", "node", "label", (F.col("label") != F.col("largest")).alias("asks"),
+        blocks(F.col("n") - F.col("most")).alias("rows"), blocks(F.col("n")).alias("columns")))
+    sets = node_sets(members.select("node").distinct(), nodes, docs, shingle)
+    # A fixed number of parts: the rows are few bytes but much work, and would else be gathered into few tasks.
+    full = members.join(sets.join(nodes.select("node", "bands", "sketch"), "node"), "node")
+    place = lambda n: F.pmod(F.xxhash64("node"), F.col(n)).cast("int")
+    copies = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
+    asked = full.withColumn("row", copies("rows")).withColumn("column", place("columns")).withColumn("own", F.lit(False))
+    asking = full.where("asks").withColumn("row", place("rows")).withColumn("column", copies("columns")).withColumn("own", F.lit(True))
+    columns = ["band", "row", "column", "own", "node", "label", "asks", "bands", "sketch", "codes"]
     limit = most_differing(percent)
+    nothing = pd.DataFrame({"low": [], "high": []}, dtype="int64")
+
+    def stacked(rows: pd.Series) -> np.ndarray:
+        return np.stack(rows.to_numpy()).astype(np.int64).view(np.uint64)
 
     def compare(group: pd.DataFrame) -> pd.DataFrame:
-        asks = group["asks"].to_numpy(bool)
-        own, others = group[asks], group[~asks]
-        found: list[tuple[int, int, int]] = []
-        if len(own) and len(others):
-            a, b = (np.stack(g["sketch"].to_numpy()).astype(np.int64).view(np.uint64) for g in (own, others))
-            a_node, b_node = own["node"].to_numpy(), others["node"].to_numpy()
-            a_label, b_label = own["label"].to_numpy(), others["label"].to_numpy()
-            for i in range(len(own)):
-                count = np.bitwise_count(b ^ a[i]).sum(axis=1)
-                for k in np.flatnonzero((count <= limit) & (b_label != a_label[i])):
-                    low, high = sorted((int(a_node[i]), int(b_node[k])))
-                    found.append((low, high, int(count[k])))
-        return pd.DataFrame(found, columns=["low", "high", "differing"]).astype("int64").drop_duplicates()
+        own = group["own"].to_numpy(bool)
+        asks, others = group[own], group[~own]
+        if not len(asks) or not len(others):
+            return nothing
+        band = np.array([group["band"].iat[0]], np.int64).view(np.uint64)[0]
+        a_node, a_label = asks["node"].to_numpy().copy(), asks["label"].to_numpy().copy()
+        b_node, b_label = others["node"].to_numpy().copy(), others["label"].to_numpy().copy()
+        a_sketch, b_sketch = stacked(asks["sketch"]), stacked(others["sketch"])
+        a_bands, b_bands = stacked(asks["bands"]), stacked(others["bands"])
+        b_asks = others["asks"].to_numpy(bool)
+        a_sets, b_sets = ([np.frombuffer(c, np.uint64) for c in g["codes"]] for g in (asks, others))
+        b_size = np.array([len(c) for c in b_sets], np.int64)
+        found: list[tuple[int, int]] = []
+        for i, codes in enumerate(a_sets):
+            n = len(codes)
+            # Both ends ask: the lesser one's question counts.
+            may = (b_label != a_label[i]) & (~b_asks | (b_node > a_node[i]))
+            may &= (100 * np.minimum(b_size, n) >= percent * np.maximum(b_size, n))
+            at = np.flatnonzero(may)
+            at = at[np.bitwise_count(b_sketch[at] ^ a_sketch[i]).sum(axis=1) <= limit]
+            at = at[(b_bands[at] == a_bands[i]).argmax(axis=1) == np.flatnonzero(a_bands[i] == band)[0]] if len(at) else at
+            if not len(at):
+                continue
+            every = np.concatenate([b_sets[k] for k in at])
+            hits = codes[np.minimum(np.searchsorted(codes, every), n - 1)] == every
+            shared = np.add.reduceat(hits.astype(np.int64), np.concatenate([[0], np.cumsum(b_size[at])[:-1]]))
+            for k in at[100 * shared >= percent * (n + b_size[at] - shared)]:
+                old, new = b_label[k], a_label[i]
+                if old != new:
+                    found.append((min(a_node[i], b_node[k]), max(a_node[i], b_node[k])))
+                    a_label[a_label == old], b_label[b_label == old] = new, new
+        return pd.DataFrame(found, columns=["low", "high"]).astype("int64") if found else nothing
 
     bytesets.ship(buckets.sparkSession)
-    # A fixed number of parts: the rows are few bytes but much work, and would else be gathered into few tasks.
-    blocks_in = base.select(*columns).unionByName(asking.select(*columns))
-    dealt = blocks_in.repartition(session.shuffle_width(buckets.sparkSession), "band", "block").groupBy("band", "block")
-    return dealt.applyInPandas(compare, "low long, high long, differing long").distinct()
+    dealt = asked.select(*columns).unionByName(asking.select(*columns)).repartition(
+        session.shuffle_width(buckets.sparkSession), "band", "row", "column")
+    return dealt.groupBy("band", "row", "column").applyInPandas(compare, "low long, high long").distinct()
+
+
+def node_sets(wanted: DataFrame, nodes: DataFrame, docs: DataFrame, shingle: int) -> DataFrame:
+    """(node, codes): the shingle hashes of the wanted nodes as bytes, stored."""
+    rows = bytesets.only(docs, doc_id="bigint", text="string")
+    texts = wanted.join(nodes.select("node", "doc_id"), "node").join(rows, "doc_id").select("node", "text")
+
+    def coded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for part in bytesets.slices(batch, "text"):
+                sets = shingle_sets(*bytesets.texts_of(part.column("text")), shingle)
+                own = np.array([int(node_of(s)) if len(s) else 0 for s in sets], np.int64)
+                mask = own == np.asarray(part.column("node"), np.int64)
+                codes = [s.tobytes() for s, m in zip(sets, mask, strict=True) if m]
+                yield pa.RecordBatch.from_arrays([pa.array(own[mask]), pa.array(codes, pa.binary())], names=["node", "codes"])
+
+    return session.cut_lineage(bytesets.map_arrow(texts, coded, "node long, codes binary").dropDuplicates(["node"]))
 
 
 def confirmed(pairs: DataFrame, docs: DataFrame, of_node: DataFrame, percent: int, shingle: int) -> DataFrame:
@@ -300,13 +349,13 @@ def components(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERCENT)
     looked = session.cut_lineage(first.select("low", "high"))
     edges = session.cut_lineage(confirmed(looked, docs, of_node, percent, shingle))
     labels = joined_components(edges)
-    for step in ("stars", "rest"):
-        pairs = stars if step == "stars" else rest_pairs(buckets, nodes, labels, percent)
-        left = session.cut_lineage(_crossing(pairs.select("low", "high").join(looked, ["low", "high"], "left_anti"), labels))
-        if not left.isEmpty():
-            looked = looked.unionByName(left)
-            edges = session.cut_lineage(edges.unionByName(confirmed(left, docs, of_node, percent, shingle)))
-            labels = joined_components(edges)
+    left = session.cut_lineage(_crossing(stars.select("low", "high").join(looked, ["low", "high"], "left_anti"), labels))
+    if not left.isEmpty():
+        edges = session.cut_lineage(edges.unionByName(confirmed(left, docs, of_node, percent, shingle)))
+        labels = joined_components(edges)
+    links = session.cut_lineage(rest_links(buckets, nodes, labels, docs, percent, shingle))
+    if not links.isEmpty():
+        labels = joined_components(edges.unionByName(links))
 
     least = labels.join(of_node, "node").groupBy("label").agg(F.min("doc_id").alias("component_id"))
     of_label = labels.join(least, "label").select("node", "component_id")

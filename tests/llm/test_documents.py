@@ -6,7 +6,9 @@ import zlib
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
+from pyspark.sql import functions as F
 
 from battlelake.llm import bpe, bpe_split, bytesets, decontaminate, languages, near_dup, secrets, token_counts, token_files
 
@@ -81,20 +83,21 @@ def test_components_of_chains_and_groups(spark, rng):
     assert sorted_rows(got) == sorted_rows(brute_components(rows))
 
 
-def test_pairs_that_no_centre_sees_are_found(spark):
-    """Two unlike centres take a bucket's nodes apart; the rest pass still compares across them."""
-    a = np.arange(1, 101, dtype=np.uint64)
-    least = near_dup.samples(bytesets.mixed(a))
-    other = least.copy()
-    other[40:] += np.uint64(1)
-    sketches = [near_dup.sketch(x).view(np.int64).tolist() for x in (other, least, least)]
-    nodes = spark.createDataFrame([(i + 1, i + 1, 1, [8], s) for i, s in enumerate(sketches)],
-                                  "node long, doc_id long, n_shingles long, bands array<long>, sketch array<long>")
-    buckets = spark.createDataFrame([(1, 8), (2, 8), (3, 8)], "node long, band long")
-    stars = {(r["low"], r["high"]) for r in near_dup.star_pairs(buckets, nodes, 80).collect()}
-    rest = {(r["low"], r["high"]) for r in near_dup.rest_pairs(
-        buckets, nodes, spark.createDataFrame([], "node long, label long"), 80).collect()}
-    assert (2, 3) not in stars and (2, 3) in rest
+def test_links_that_no_centre_sees_are_found(spark, monkeypatch):
+    """An unlike centre takes a bucket's nodes apart; the rest pass still compares across them, in any number of blocks."""
+    like = [" ".join(f"w{i}" for i in range(100)), " ".join(f"w{i}" for i in range(99)), " ".join(f"w{i}" for i in range(60))]
+    digest = lambda text: int(near_dup.node_of(near_dup.shingle_sets(*bytesets.texts_of(pa.array([text])))[0]))
+    least = min(digest(t) ^ 8 for t in like)
+    centre = next(t for t in (" ".join(f"u{n}v{i}" for i in range(100)) for n in range(1000)) if digest(t) ^ 8 < least)
+    docs = spark.createDataFrame(list(enumerate([centre, *like])), "doc_id long, text string")
+    nodes = near_dup.prepared(docs).withColumn("bands", F.array(F.lit(8).cast("long")))
+    buckets = nodes.select("node", F.lit(8).cast("long").alias("band"))
+    assert near_dup.star_pairs(buckets, nodes, 80).collect() == []
+    none = spark.createDataFrame([], "node long, label long")
+    for block in (near_dup.BLOCK, 64):
+        monkeypatch.setattr(near_dup, "BLOCK", block)
+        found = [(r["low"], r["high"]) for r in near_dup.rest_links(buckets, nodes, none, docs, 80, near_dup.SHINGLE).collect()]
+        assert found == [tuple(sorted(map(digest, like[:2])))]
 
 
 def test_one_representative_stays(spark, odd_docs):
