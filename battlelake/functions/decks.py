@@ -88,5 +88,6 @@ def multi_hot(indexes: Column, width: int) -> Column:
 
 
 def padded_key(indexes: Column) -> Column:
-    """Each number padded to three digits and joined: text that sorts like the deck."""
-    return F.array_join(F.transform(indexes, lambda i: F.lpad(i.cast("string"), 3, "0")), "")
+    """Each number padded to three digits and joined: text that sorts like the deck. Longer numbers stay whole."""
+    padded = lambda i: F.when(i > 999, i.cast("string")).otherwise(F.lpad(i.cast("string"), 3, "0"))
+    return F.array_join(F.transform(indexes, padded), "")

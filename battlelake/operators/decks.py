@@ -103,8 +103,10 @@ def card_index_map(cards: DataFrame) -> Column:
     return found
 
 
-def indexed(deck: Column, index_map: Column) -> Column:
-    """Card places; unknown cards become null."""
+def indexed(deck: Column, index_map: Column, keep_unknown: bool = False) -> Column:
+    """Card places; unknown cards become null, or keep their ids with ``keep_unknown``."""
+    if keep_unknown:
+        return F.transform(deck, lambda card: F.coalesce(F.try_element_at(index_map, card), card))
     return F.transform(deck, lambda card: F.try_element_at(index_map, card))
 
 

@@ -46,7 +46,9 @@ def with_card_names(df: DataFrame, decks: dict[str, str], cards: DataFrame) -> D
             ))).alias("names"))
             .select(deck, F.col("names.name").alias(new))
         )
-        named = named.join(lists, deck, "left")
+        # A deck without cards has no row there and an empty list of names.
+        none = F.when(F.col(deck).isNotNull(), F.array().cast("array<string>"))
+        named = named.join(lists, deck, "left").withColumn(new, F.coalesce(new, none))
     return named
 
 

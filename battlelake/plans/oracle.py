@@ -289,8 +289,9 @@ def _pairs(differ: str, source: str = "battles") -> str:
 _cte("pairs", _pairs("p1_deck <> p2_deck"), "battles")
 _cte("pairs_sets", _pairs("list_sort(p1_deck) <> list_sort(p2_deck)"), "battles")
 _cte("encoded", """
-  SELECT p1_crowns, p2_crowns, [c - 26000000 FOR c IN p1_deck] AS p1_deck, [c - 26000000 FOR c IN p2_deck] AS p2_deck
-  FROM battles WHERE list_max(list_concat(p1_deck, p2_deck)) < 26000118""", "battles")
+  SELECT p1_crowns, p2_crowns, [CASE WHEN c < 26000118 THEN c - 26000000 ELSE c END FOR c IN p1_deck] AS p1_deck,
+    [CASE WHEN c < 26000118 THEN c - 26000000 ELSE c END FOR c IN p2_deck] AS p2_deck
+  FROM battles""", "battles")
 _cte("encoded_pairs", _pairs("p1_deck <> p2_deck", "encoded"), "encoded")
 _cte("all_decks", """
   SELECT battle_id, battle_date, CAST(1 AS INTEGER) AS side, p1_deck AS deck FROM dated
@@ -455,7 +456,9 @@ def statements() -> dict[str, str]:
         "deck_pair_file_rows": _sql(
             "SELECT " + ", ".join(
                 f"deck_{d}[{i}] AS {d}{i}" for d in "ab" for i in range(1, 9))
-            + ", wins, losses, array_to_string([lpad(CAST(c AS VARCHAR), 3, '0') FOR c IN list_concat(deck_a, deck_b)], '')"
+            + ", wins, losses, CAST(len([c FOR c IN list_concat(deck_a, deck_b) IF c >= 118]) AS INTEGER) AS unknown_cards,"
+            " array_to_string([lpad(CAST(c AS VARCHAR), greatest(3, len(CAST(c AS VARCHAR)))::INTEGER, '0')"
+            " FOR c IN list_concat(deck_a, deck_b)], '')"
             " AS sort_key FROM encoded_pairs", "encoded_pairs"),
         "card_usage_daily": _sql(f"SELECT battle_date, card, usage, {_SHARE} FROM daily_cards", "daily_cards"),
         "recent_card_usage": _sql(

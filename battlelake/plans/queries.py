@@ -279,16 +279,19 @@ def deck_pair_stats_merged(spark, sf_dir):
 
 @query
 def deck_pair_file_rows(spark, sf_dir):
-    """The file form of the pair table: card places instead of ids, and the text key it sorts by."""
+    """The file form of the pair table: card places instead of ids, and the text key it sorts by.
+
+    A card without a place keeps its id; ``unknown_cards`` counts those of the row.
+    """
     places = decks.card_index_map(fixtures.card_dim(spark))
-    flat = _flat(spark, sf_dir)
-    known = F.forall(F.concat("p1_deck", "p2_deck"), lambda c: F.map_contains_key(places, c))
-    encoded = flat.where(known).withColumns({
-        side: decks.indexed(F.col(side), places) for side in ("p1_deck", "p2_deck")
+    encoded = _flat(spark, sf_dir).withColumns({
+        side: decks.indexed(F.col(side), places, keep_unknown=True) for side in ("p1_deck", "p2_deck")
     })
     rows = decks.flat_deck_columns(decks.deck_pair_stats(encoded))
     cards = [c for c in rows.columns if c not in ("wins", "losses")]
-    return rows.withColumn("sort_key", deck_fn.padded_key(F.array(*cards)))
+    known = F.map_values(places)
+    unknown = F.size(F.filter(F.array(*cards), lambda c: ~F.array_contains(known, c)))
+    return rows.withColumns({"unknown_cards": unknown, "sort_key": deck_fn.padded_key(F.array(*cards))})
 
 
 @query

@@ -34,3 +34,10 @@ def test_model_query_gives_three_ordered_unseen_or_seen_cards(spark, sf_dir):
     for found in by_pattern.values():
         scores = [r["score"] for r in sorted(found, key=lambda r: r["place"])]
         assert len(scores) == 3 and scores == sorted(scores, reverse=True)
+
+
+def test_pair_file_keeps_battles_with_unknown_cards(spark, sf_dir):
+    rows = QUERIES["deck_pair_file_rows"](spark, sf_dir)
+    battles = QUERIES["deck_pair_stats"](spark, sf_dir).selectExpr("sum(wins + losses)").first()[0]
+    assert rows.selectExpr("sum(wins + losses)").first()[0] == battles
+    assert rows.where("unknown_cards > 0").count() > 0
