@@ -37,7 +37,6 @@ def frontier(
         .withColumn("mode_class", mode_class(F.col("game_mode")))
         .where(F.col("mode_class") != "other")
         .select(F.col("p2_tag").alias("tag"), "mode_class", "battle_time", "battle_id", "p2_trophies")
-        .join(requested.select("tag").distinct(), "tag", "left_anti")
     )
 
     def latest(kind: str, target: int) -> Column:
@@ -48,7 +47,8 @@ def frontier(
     found = candidates.groupBy("tag").agg(
         latest("ranked", ranked_target).alias("ranked"), latest("ladder", ladder_target).alias("ladder")
     )
-    return found.select(
+    # One row per tag by now: an opponent met by everybody is no more to move than any other.
+    return found.join(requested.select("tag").distinct(), "tag", "left_anti").select(
         "tag",
         F.coalesce("ranked.distance", F.lit(0)).alias("ranked_trophies"),
         F.coalesce("ladder.distance", F.lit(0)).alias("ladder_trophies"),

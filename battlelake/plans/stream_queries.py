@@ -15,8 +15,6 @@ from battlelake.streaming.state import StateTables
 
 # The staged files are read in this many micro-batches.
 MICRO_BATCHES = 3
-# The table covers one month and its files need not be in time order: no row of it may count as late.
-WHOLE_TABLE_DELAY = "40 days"
 # Records no job can use: broken text, and a battle without decks.
 BROKEN_RECORDS = ['{"battle_time": ', '{"battle_time":"20240131T000000.000Z","game_mode":72000006}']
 
@@ -80,16 +78,16 @@ def stream_matrix(spark, sf_dir):
 def stream_dedup(spark, sf_dir):
     out, checkpoint = work_path(spark, "deduplicated"), work_path(spark, "checkpoint")
     stream = _staged(spark, fixtures.battle_log(batch._battles(spark, sf_dir)))
-    _finish(jobs.dedup_job(stream, out, checkpoint, delay=WHOLE_TABLE_DELAY, available_now=True))
-    return batch._flat_text(sinks.read_batches(spark, out))
+    _finish(jobs.dedup_job(stream, out, checkpoint, available_now=True))
+    return batch._flat_text(sinks.read_batches(spark, f"{out}/battles").drop("battle_day"))
 
 
 @query
 def stream_card_usage_window(spark, sf_dir):
     out, checkpoint = work_path(spark, "usage"), work_path(spark, "checkpoint")
     stream = _staged(spark, batch._battles(spark, sf_dir))
-    _finish(jobs.card_usage_job(stream, out, checkpoint, delay=WHOLE_TABLE_DELAY, available_now=True))
-    return sinks.read_latest(spark, out, ["battle_date", "card"])
+    _finish(jobs.card_usage_job(stream, out, checkpoint, available_now=True))
+    return jobs.card_usage(spark, out)
 
 
 @query

@@ -4,16 +4,18 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.streaming.readwriter import DataStreamWriter
+from pyspark.sql.types import LongType, StructField, StructType
 
-from battlelake.functions.values import event_time, utc_date
+from battlelake.functions.values import battle_date
 from battlelake.operators import canonical, enrich, points
 from battlelake.operators.performance import flatten
+from battlelake.session import hadoop_path
 from battlelake.sources import logs
 from battlelake.streaming import sources
-from battlelake.streaming.sinks import RowWriter, write_batch
+from battlelake.streaming.sinks import RowWriter, read_batches, write_batch
 from battlelake.streaming.state import StateTables
 
 
@@ -34,6 +36,11 @@ def _per_batch(
     )
 
 
+def _query_id(spark: SparkSession, checkpoint: str) -> str:
+    """What the checkpoint says of its query; a fresh checkpoint says something else."""
+    return spark.read.text(f"{checkpoint}/metadata").first()[0]
+
+
 def _observed(stream: DataFrame, name: str) -> DataFrame:
     """Row counts of each batch in the query's progress, without a job of their own.
 
@@ -43,15 +50,25 @@ def _observed(stream: DataFrame, name: str) -> DataFrame:
     return stream.observe(name, F.count(F.lit(1)).alias("rows"), bad.alias("quarantined"))
 
 
+def _usable(batch: DataFrame, batch_id: int, quarantine: str) -> DataFrame:
+    """The records that can be used; the others are stored."""
+    good, bad = logs.split_usable(batch)
+    write_batch(bad, batch_id, quarantine)
+    return good
+
+
 def documents_job(
     records: DataFrame, cards: DataFrame, modes: DataFrame, out: str, checkpoint: str, available_now: bool = False,
 ) -> StreamingQuery:
-    """Named search documents with their arrival time."""
+    """Named search documents with their arrival time; records that cannot be used beside them."""
 
     def work(batch: DataFrame, batch_id: int) -> None:
-        good, _ = logs.split_usable(batch)
-        documents = enrich.search_documents(good, cards, modes)
-        write_batch(documents.withColumn("timestamp", F.current_timestamp()), batch_id, out)
+        batch.persist()
+        try:
+            documents = enrich.search_documents(_usable(batch, batch_id, f"{out}-quarantine"), cards, modes)
+            write_batch(documents.withColumn("timestamp", F.current_timestamp()), batch_id, out)
+        finally:
+            batch.unpersist()
 
     return _per_batch(_observed(sources.battles(records), "documents"), work, checkpoint, available_now)
 
@@ -67,13 +84,12 @@ def fan_out_job(
     def work(batch: DataFrame, batch_id: int) -> None:
         batch.persist()
         try:
-            good, bad = logs.split_usable(batch)
+            good = _usable(batch, batch_id, f"{out}/quarantine")
             flat = flatten(good)
             write_batch(good, batch_id, f"{out}/battles")
             write_batch(enrich.search_documents(good, cards, modes), batch_id, f"{out}/documents")
             write_batch(points.game_points(flat), batch_id, f"{out}/game_points")
             write_batch(points.card_points(flat), batch_id, f"{out}/card_points")
-            write_batch(bad, batch_id, f"{out}/quarantine")
         finally:
             batch.unpersist()
 
@@ -88,46 +104,76 @@ def training_job(
     def work(batch: DataFrame, batch_id: int) -> None:
         batch.persist()
         try:
-            state.apply(logs.split_usable(batch)[0], batch_id, with_model)
+            good = _usable(batch, batch_id, f"{state.path}/quarantine")
+            state.apply(good, batch_id, with_model, writer=_query_id(batch.sparkSession, checkpoint))
         finally:
             batch.unpersist()
 
     return _per_batch(_observed(sources.battles(records), "training"), work, checkpoint, available_now)
 
 
-def dedup_job(
-    records: DataFrame, out: str, checkpoint: str, delay: str = "1 day", available_now: bool = False,
-) -> StreamingQuery:
-    """Canonical battles, each once, as long as its copies arrive within ``delay`` of each other.
+def _add_new_battles(good: DataFrame, batch_id: int, path: str) -> None:
+    """Add the canonical battles that no earlier batch in the table at ``path`` has.
 
-    The watermark bounds the state; later copies are left to the season job.
+    The table is the memory of the job, so a copy is known however late it comes and no battle is too late. Of the
+    stored days only those of the batch are read. A battle without a readable time belongs to the day ``unknown``.
     """
-    good, _ = logs.split_usable(sources.battles(records))
-    oriented = canonical.by_tag(good).withColumn("event_time", event_time(F.col("battle_time")))
-    once = oriented.withWatermark("event_time", delay).dropDuplicatesWithinWatermark(
-        canonical.BATTLE_COLUMNS
-    )
-    return _per_batch(
-        once.drop("event_time"), lambda batch, batch_id: write_batch(batch, batch_id, out), checkpoint, available_now
-    )
+    spark = good.sparkSession
+    day = F.coalesce(battle_date(F.col("battle_time")).cast("string"), F.lit("unknown"))
+    fresh = canonical.canonical_battles(good).withColumn("battle_day", day)
+    target, files = hadoop_path(spark, path)
+    if files.exists(target):
+        stored = spark.read.schema(StructType([*fresh.schema.fields, StructField("batch_id", LongType())]))
+        before = stored.option("basePath", path).parquet(path).where(F.col("batch_id") < batch_id).drop("batch_id")
+        known = before.join(fresh.select("battle_day").distinct(), "battle_day", "left_semi").alias("known")
+        same = F.col("fresh.battle_day") == F.col("known.battle_day")
+        for column in canonical.BATTLE_COLUMNS:
+            same &= F.col(f"fresh.{column}").eqNullSafe(F.col(f"known.{column}"))
+        new = fresh.alias("fresh").join(known, same, "left_anti")
+    else:
+        new = fresh
+    write_batch(new, batch_id, path, by="battle_day")
+
+
+def dedup_job(records: DataFrame, out: str, checkpoint: str, available_now: bool = False) -> StreamingQuery:
+    """Canonical battles, each once, in ``out``/battles; records that cannot be used in ``out``/quarantine."""
+
+    def work(batch: DataFrame, batch_id: int) -> None:
+        batch.persist()
+        try:
+            _add_new_battles(_usable(batch, batch_id, f"{out}/quarantine"), batch_id, f"{out}/battles")
+        finally:
+            batch.unpersist()
 
+    return _per_batch(_observed(sources.battles(records), "dedup"), work, checkpoint, available_now)
 
-def card_usage_job(
-    records: DataFrame, out: str, checkpoint: str, delay: str = "1 day", available_now: bool = False,
-) -> StreamingQuery:
-    """Usage and crown difference of each card per day, updated as battles arrive."""
-    good, _ = logs.split_usable(sources.battles(records))
-    cards = points.card_points(flatten(good)).withColumn("event_time", event_time(F.col("battle_time")))
-    daily = (
-        cards.withWatermark("event_time", delay)
-        .groupBy(F.window("event_time", "1 day").alias("day"), "card")
-        .agg(F.count(F.lit(1)).alias("battles"), F.sum("crowns").alias("crowns"))
-        .select(utc_date(F.col("day.start")).alias("battle_date"), "card", "battles", "crowns")
-    )
-    writer = daily.writeStream.outputMode("update").foreachBatch(
-        lambda batch, batch_id: write_batch(batch, batch_id, out)
+
+def card_usage_job(records: DataFrame, out: str, checkpoint: str, available_now: bool = False) -> StreamingQuery:
+    """Usage and crown difference of each card per day, as one part per batch; ``card_usage`` adds the parts.
+
+    Late battles count for their day, battles without a readable time for the day null. Every record counts: a log
+    with copies goes through ``dedup_job`` first.
+    """
+
+    def work(batch: DataFrame, batch_id: int) -> None:
+        batch.persist()
+        try:
+            cards = points.card_points(flatten(_usable(batch, batch_id, f"{out}/quarantine")))
+            daily = cards.groupBy(battle_date(F.col("battle_time")).alias("battle_date"), "card").agg(
+                F.count(F.lit(1)).alias("battles"), F.sum("crowns").alias("crowns")
+            )
+            write_batch(daily, batch_id, f"{out}/usage")
+        finally:
+            batch.unpersist()
+
+    return _per_batch(_observed(sources.battles(records), "card_usage"), work, checkpoint, available_now)
+
+
+def card_usage(spark: SparkSession, out: str) -> DataFrame:
+    """The table of ``card_usage_job`` as it stands: one row per day and card."""
+    return read_batches(spark, f"{out}/usage").groupBy("battle_date", "card").agg(
+        F.sum("battles").alias("battles"), F.sum("crowns").alias("crowns")
     )
-    return _started(writer, checkpoint, available_now, "1 minute")
 
 
 def log_job(lines: DataFrame, out: str, checkpoint: str, available_now: bool = False) -> StreamingQuery:
@@ -140,5 +186,5 @@ def row_job(
     records: DataFrame, connect: Callable, checkpoint: str, available_now: bool = False,
 ) -> StreamingQuery:
     """Decoded battles one by one to an outside store, over one connection per partition."""
-    good, _ = logs.split_usable(sources.battles(records))
+    good, _ = logs.split_usable(_observed(sources.battles(records), "rows"))
     return _started(good.writeStream.foreach(RowWriter(connect)), checkpoint, available_now, "1 minute")

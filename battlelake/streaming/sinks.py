@@ -8,9 +8,10 @@ from typing import Any
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 
-def write_batch(df: DataFrame, batch_id: int, path: str) -> None:
+def write_batch(df: DataFrame, batch_id: int, path: str, by: str | None = None) -> None:
     """Each batch has a folder of its own; a replay replaces it instead of adding rows."""
-    df.write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
+    writer = df.write.mode("overwrite")
+    (writer.partitionBy(by) if by else writer).parquet(f"{path}/batch_id={batch_id}")
 
 
 def read_batches(spark: SparkSession, path: str) -> DataFrame:

@@ -52,8 +52,24 @@ class StateTables:
             self._mapping(number), read.parquet(f"{base}/moments"), read.parquet(f"{base}/last_moments")
         )
 
-    def apply(self, battles: DataFrame, batch_id: int, with_model: bool = False) -> bool:
-        """Add one batch; False when it was already applied or holds no sequence."""
+    def _claim(self, writer: str) -> None:
+        """A batch number means something to the query that counts it only: one state, one writer."""
+        path = f"{self.path}/writer"
+        target, files = hadoop_path(self.spark, path)
+        if not files.exists(target):
+            self.spark.createDataFrame([(writer,)], "value string").coalesce(1).write.text(path)
+            return
+        known = self.spark.read.text(path).first()[0]
+        if known != writer:
+            raise ValueError(f"the state at {self.path} belongs to the query {known}, not to {writer}")
+
+    def apply(self, battles: DataFrame, batch_id: int, with_model: bool = False, writer: str | None = None) -> bool:
+        """Add one batch; False when it was already applied or holds no sequence.
+
+        With ``writer``, an error where another one has written the state: its batch numbers would pass for known.
+        """
+        if writer is not None:
+            self._claim(writer)
         number = self.latest_version()
         if number is not None and number >= batch_id:
             return False

@@ -86,8 +86,52 @@ def test_dedup_across_batches(spark, battles, tmp_path):
     for part in range(2):
         stage(battles, path, part)
         stream = sources.record_files(spark, path)
-        finish(jobs.dedup_job(stream, out, str(tmp_path / "ckpt"), delay="40 days", available_now=True))
-    assert sinks.read_batches(spark, out).count() == battles.count()
+        finish(jobs.dedup_job(stream, out, str(tmp_path / "ckpt"), available_now=True))
+    assert sinks.read_batches(spark, f"{out}/battles").count() == battles.count()
+    assert sinks.read_batches(spark, f"{out}/quarantine").count() == 2
+
+
+def odd_times(battles):
+    """Two battles: one sixty days before the others, one with a time that says nothing."""
+    late, unread = (battles.where(F.col("battle_id") == i) for i in (1, 2))
+    return late.withColumn("battle_time", F.lit("20231115T120000.000Z")).unionByName(
+        unread.withColumn("battle_time", F.lit("not a time")))
+
+
+def test_late_and_undated_battles_stay_and_their_copies_go(spark, battles, tmp_path):
+    path, out = str(tmp_path / "in"), str(tmp_path / "out")
+    for part, rows in enumerate((battles, odd_times(battles), odd_times(battles))):
+        stage(rows, path, part)
+        finish(jobs.dedup_job(sources.record_files(spark, path), out, str(tmp_path / "ckpt"), available_now=True))
+    days = {r[0]: r[1] for r in sinks.read_batches(spark, f"{out}/battles").groupBy("battle_day").count().collect()}
+    assert sum(days.values()) == battles.count() + 2
+    assert days["2023-11-15"] == days["unknown"] == 1
+
+
+def test_late_and_undated_battles_count_for_card_usage(spark, battles, tmp_path):
+    path, out = str(tmp_path / "in"), str(tmp_path / "out")
+    for part, rows in enumerate((battles, odd_times(battles))):
+        stage(rows, path, part)
+        finish(jobs.card_usage_job(sources.record_files(spark, path), out, str(tmp_path / "ckpt"), available_now=True))
+    from battlelake.operators.points import card_points
+    daily = jobs.card_usage(spark, out)
+    every = card_points(flatten(battles.unionByName(odd_times(battles))))
+    assert daily.agg(F.sum("battles")).first()[0] == every.count()
+    assert daily.where("battle_date = '2023-11-15'").count() > 0
+    assert daily.where("battle_date IS NULL").count() > 0
+
+
+def test_state_refuses_a_fresh_checkpoint(spark, battles, tmp_path):
+    path, state = str(tmp_path / "in"), StateTables(spark, str(tmp_path / "state"))
+    stage(battles.limit(20), path, 0)
+    for ckpt, fails in (("a", False), ("a", False), ("b", True)):
+        run = jobs.training_job(sources.record_files(spark, path), state, str(tmp_path / ckpt), with_model=False, available_now=True)
+        if fails:
+            with pytest.raises(Exception, match="belongs to the query"):
+                run.awaitTermination()
+        else:
+            finish(run)
+    assert state.latest_version() == 0
 
 
 def test_card_usage_is_updated_by_later_batches(spark, battles, tmp_path):
@@ -95,8 +139,8 @@ def test_card_usage_is_updated_by_later_batches(spark, battles, tmp_path):
     for part in range(2):
         stage(battles, path, part)
         stream = sources.record_files(spark, path)
-        finish(jobs.card_usage_job(stream, out, str(tmp_path / "ckpt"), delay="40 days", available_now=True))
-    total = sinks.read_latest(spark, out, ["battle_date", "card"]).agg(F.sum("battles")).first()[0]
+        finish(jobs.card_usage_job(stream, out, str(tmp_path / "ckpt"), available_now=True))
+    total = jobs.card_usage(spark, out).agg(F.sum("battles")).first()[0]
     from battlelake.operators.points import card_points
     assert total == 2 * card_points(flatten(battles)).count()
 
