@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import Column, functions as F
 
+from battlelake.schemas import DECK_SIZE
+
 
 def pattern_of(deck: Column) -> Column:
     """Cards joined by commas, in the order given."""
@@ -91,3 +93,10 @@ def padded_key(indexes: Column) -> Column:
     """Each number padded to three digits and joined: text that sorts like the deck. Longer numbers stay whole."""
     padded = lambda i: F.when(i > 999, i.cast("string")).otherwise(F.lpad(i.cast("string"), 3, "0"))
     return F.array_join(F.transform(indexes, padded), "")
+
+
+def file_cards(deck: Column) -> list[Column]:
+    """The card columns of a file row; a deck with more cards than the row has places is an error, never cut."""
+    too_long = F.raise_error(F.lit(f"a deck of more than {DECK_SIZE} cards has no place in the file"))
+    whole = F.when(F.size(deck) > DECK_SIZE, too_long).otherwise(deck)
+    return [F.get(whole, F.lit(i)) for i in range(DECK_SIZE)]

@@ -6,6 +6,8 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from battlelake.functions.values import battle_date
 
+# Season number of battles outside all seasons.
+NO_SEASON = 0
 BATTLE_COLUMNS = ["battle_time", "game_mode", "player1", "player2"]
 
 
@@ -44,8 +46,10 @@ def season_days(seasons: DataFrame) -> DataFrame:
 
 
 def with_season(battles: DataFrame, seasons: DataFrame) -> DataFrame:
-    return battles.withColumn("battle_date", battle_date(F.col("battle_time"))).join(
-        season_days(seasons), "battle_date"
+    """The season of each battle; NO_SEASON for those outside all seasons and those without a readable time."""
+    dated = battles.withColumn("battle_date", battle_date(F.col("battle_time")))
+    return dated.join(season_days(seasons), "battle_date", "left").withColumn(
+        "season", F.coalesce("season", F.lit(NO_SEASON))
     )
 
 

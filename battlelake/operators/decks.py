@@ -4,8 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from battlelake.functions.decks import bit_text, contains_all, contains_none, multi_hot
-from battlelake.schemas import DECK_SIZE
+from battlelake.functions.decks import bit_text, contains_all, contains_none, file_cards, multi_hot
 from battlelake.sources.dims import MAX_LITERAL_ROWS, literal_map
 
 
@@ -52,8 +51,8 @@ def merge_deck_stats(*stats: DataFrame) -> DataFrame:
 def flat_deck_columns(stats: DataFrame) -> DataFrame:
     """The file form: sixteen card columns, wins and losses."""
     cards = [
-        F.get(deck, F.lit(i)).alias(f"{deck[-1]}{i + 1}")
-        for deck in ("deck_a", "deck_b") for i in range(DECK_SIZE)
+        card.alias(f"{deck[-1]}{i}")
+        for deck in ("deck_a", "deck_b") for i, card in enumerate(file_cards(F.col(deck)), 1)
     ]
     return stats.select(*cards, "wins", "losses")
 

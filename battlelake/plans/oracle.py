@@ -271,9 +271,9 @@ def _oriented(keep: str) -> str:
 _cte("canonical", _oriented(_KEEP_BY_TAG), "battle_log")
 _cte("winner_first", _oriented(_KEEP_WINNER), "battle_log")
 _cte("season_rows", """
-  SELECT c.*, CAST(strptime(substr(battle_time, 1, 8), '%Y%m%d') AS DATE) AS battle_date, season
-  FROM canonical c JOIN season_dim ON CAST(strptime(substr(battle_time, 1, 8), '%Y%m%d') AS DATE) >= start_date
-    AND CAST(strptime(substr(battle_time, 1, 8), '%Y%m%d') AS DATE) < end_date""", "canonical", "season_dim")
+  SELECT c.*, CAST(try_strptime(substr(battle_time, 1, 8), '%Y%m%d') AS DATE) AS battle_date, coalesce(season, 0) AS season
+  FROM canonical c LEFT JOIN season_dim ON CAST(try_strptime(substr(battle_time, 1, 8), '%Y%m%d') AS DATE) >= start_date
+    AND CAST(try_strptime(substr(battle_time, 1, 8), '%Y%m%d') AS DATE) < end_date""", "canonical", "season_dim")
 
 
 def _pairs(differ: str, source: str = "battles") -> str:

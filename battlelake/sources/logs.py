@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.types import StructType
 
 from battlelake import schemas
+from battlelake.functions.decks import file_cards
 from battlelake.functions.values import battle_date
 
 
@@ -103,10 +104,7 @@ def flat_to_csv(flat: DataFrame) -> DataFrame:
     columns = [F.col("battle_time"), F.col("game_mode")]
     for side in schemas.SIDES:
         columns += [F.col(f"p{side}_{n}").alias(f"{n}{side}") for n in ("tag", "trophies", "crowns")]
-        columns += [
-            F.get(f"p{side}_deck", F.lit(i - 1)).alias(f"card{side}{i}")
-            for i in range(1, schemas.DECK_SIZE + 1)
-        ]
+        columns += [card.alias(f"card{side}{i}") for i, card in enumerate(file_cards(F.col(f"p{side}_deck")), 1)]
     return flat.select(*columns)
 
 

@@ -254,3 +254,25 @@ def test_csv_values_that_do_not_fit(spark, tmp_path):
     assert row["p1_trophies"] is None and row["p2_trophies"] == 5000
     assert str(row["battle_date"]) == "2024-01-01" and row["p1_deck"] == [26000000] * 8
     assert logs.read_battle_csv(spark, str(tmp_path), max_rows=0).count() == 0
+
+
+def test_battles_outside_all_seasons_keep_a_row(spark, sf_dir):
+    battles = fixtures.battles(spark, sf_dir).where("battle_id <= 3")
+    times = F.when(F.col("battle_id") == 1, "20231231T235959.000Z").when(F.col("battle_id") == 2, "no time")
+    log = battles.withColumn("battle_time", F.coalesce(times, F.lit("20240110T000000.000Z")))
+    seasons = fixtures.season_dim(spark)
+    rows = canonical.season_battles(log, seasons)
+    assert rows.count() == battles.count()
+    outside = rows.where(F.col("season") == canonical.NO_SEASON)
+    assert sorted(str(r[0]) for r in outside.select("battle_date").collect()) == ["2023-12-31", "None"]
+    total = canonical.season_summary(rows).where("season IS NULL").first()
+    assert total["games"] == battles.count()
+
+
+def test_a_deck_too_long_for_the_file_is_an_error(spark):
+    stats = spark.sql("SELECT sequence(1, {n}) AS deck_a, array(1) AS deck_b, 1L AS wins, 0L AS losses", n=9)
+    with pytest.raises(Exception, match="no place in the file"):
+        decks.flat_deck_columns(stats).collect()
+    short = decks.flat_deck_columns(stats.withColumn("deck_a", F.slice("deck_a", 1, 8))).first()
+    assert [short[f"a{i}"] for i in range(1, 9)] == list(range(1, 9)) and short["b2"] is None
+
