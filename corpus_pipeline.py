@@ -17,6 +17,9 @@ from pyspark.sql import functions as F  # noqa: E402
 from battlelake import session  # noqa: E402
 from battlelake.llm import bpe, decontaminate, languages, near_dup, secrets  # noqa: E402
 
+#: Words of a shingle in the near-copy stage; op1's own query counts in four.
+SHINGLE = 5
+
 #: A language less sure than this is a rejection; even a text of two words is surer.
 MIN_LANGUAGE_SCORE = 0.2
 
@@ -31,7 +34,7 @@ def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near copies stays, the one with the least doc_id."""
-    return near_dup.representatives(docs)
+    return near_dup.representatives(docs, shingle=SHINGLE)
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
