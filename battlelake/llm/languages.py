@@ -9,6 +9,12 @@ Defined cases: a null text or one without a letter is ``und`` with score 0; with
 ``und``; a null doc_id counts as the empty text for the split (held out); a language outside the table of families is
 a family of its own; repeated rows are predicted alike; languages with equal votes go to the larger sum of margins,
 then to the name that sorts first.
+
+``predicted(..., reject=True)`` also gives ``und`` to texts in no learnt language. The votes cannot tell, since one of
+two always wins. So each language has a profile, the logarithm of how much likelier its runs of bytes are than any; a
+text goes if its mean over the best profile lies below its language's limit by enough evidence. The limit comes from
+halves of the sample held against each other's profiles. Defined cases: a language with too few samples for a limit
+rejects nothing; so does a text too short for the evidence; a language much like a learnt one may pass for it.
 """
 
 from __future__ import annotations
@@ -34,6 +40,10 @@ UNDETERMINED = "und"
 #: The size of the SVMs' first steps.
 STEP = 20
 
+#: Samples that a language's limit needs, and the part of the 0.01 quantile of their scores that it is: texts of several
+#: languages and names stay. A text is rejected by this much log-likelihood.
+LEAST_SAMPLES, LIMIT_SHARE, EVIDENCE = 10, 0.25, 10.0
+
 #: Families of language codes. Fixed values.
 FAMILIES = {
     "germanic": "af da de en fy is lb nb nl nn no sv yi",
@@ -87,6 +97,32 @@ def feature_rows(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
     return out / np.maximum(norm, 1e-9)
 
 
+def gram_shares(rows: np.ndarray) -> np.ndarray:
+    """The share of each feature in its text, without the runs of blanks."""
+    shares = rows.astype(np.float32) ** 2
+    shares[:, feature_rows(np.full(3, 0x20, np.uint8), np.array([0, 3]))[0] > 0] = 0
+    return shares / np.maximum(shares.sum(axis=1, keepdims=True), 1e-9)
+
+
+def signs(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
+    """The bytes of each text that are not blanks once folded."""
+    return np.diff(np.concatenate(([0], np.cumsum(folded(data) != 0x20)))[offsets])
+
+
+def profile(shares: np.ndarray) -> np.ndarray:
+    """How much likelier each feature is in these texts than an even share, as a logarithm."""
+    return np.log(0.9 * BUCKETS * shares.mean(axis=0) + 0.1).astype(np.float32)
+
+
+def _limit(shares: np.ndarray) -> float:
+    """What clean texts of one language stay above, from halves that are held out from each other's profile."""
+    if len(shares) < LEAST_SAMPLES:
+        return -np.inf
+    a, b = shares[::2], shares[1::2]
+    low = np.quantile(np.concatenate((a @ profile(b), b @ profile(a))), 0.01)
+    return float(low) * LIMIT_SHARE if low > 0 else -np.inf
+
+
 def _svm(rows: np.ndarray, side: np.ndarray, epochs: int = 20) -> np.ndarray:
     """Weights, bias last, of a linear SVM fitted by averaged stochastic subgradients in a fixed order."""
     x = np.hstack([rows, np.ones((len(rows), 1), np.float32)])
@@ -114,6 +150,8 @@ class Model:
     members: dict[str, list[str]]
     family_weights: np.ndarray
     pair_weights: dict[tuple[str, str], np.ndarray]
+    profiles: np.ndarray
+    limits: dict[str, float]
 
     @classmethod
     def fitted(cls, rows: np.ndarray, langs: list[str]) -> Model:
@@ -128,7 +166,19 @@ class Model:
                 for b in langs_in[i + 1:]:
                     chosen = (names == a) | (names == b)
                     pairs[a, b] = _svm(rows[chosen], np.where(names[chosen] == a, 1, -1))
-        return cls(families, members, np.array(weights, np.float32).reshape(len(families), BUCKETS + 1), pairs)
+        shares = gram_shares(rows)
+        own = {lang: shares[names == lang] for lang in sorted(set(langs))}
+        profiles = np.array([profile(x) for x in own.values()], np.float32).reshape(len(own), BUCKETS)
+        return cls(families, members, np.array(weights, np.float32).reshape(len(families), BUCKETS + 1), pairs,
+                   profiles, {lang: _limit(x) for lang, x in own.items()})
+
+    def unlike(self, rows: np.ndarray, langs: list[str], sizes: np.ndarray) -> np.ndarray:
+        """Which texts of ``sizes`` signs are in no learnt language; ``langs`` has what was predicted."""
+        if not self.families:
+            return np.zeros(len(rows), bool)
+        best = (gram_shares(rows) @ self.profiles.T).max(axis=1)
+        # Each sign begins a run of two and one of three.
+        return 2 * np.maximum(sizes, 1) * (np.array([self.limits[x] for x in langs]) - best) >= EVIDENCE
 
     def predict(self, rows: np.ndarray) -> tuple[list[str], np.ndarray]:
         if not self.families:
@@ -180,8 +230,8 @@ def train(docs: DataFrame, sample: int = SAMPLE) -> Model:
     return Model.fitted(matrix, [lang for lang, _ in rows])
 
 
-def predicted(docs: DataFrame, model: Model, text: str = "text") -> tuple[DataFrame, str, str]:
-    """All columns and two more, the language and its score; also their names."""
+def predicted(docs: DataFrame, model: Model, text: str = "text", reject: bool = False) -> tuple[DataFrame, str, str]:
+    """All columns and two more, the language and its score; also their names. ``reject``: see the module."""
     import pyspark.sql.types as T
 
     lang, score = bytesets.free_name(docs, "lang_pred"), bytesets.free_name(docs, "score")
@@ -199,7 +249,11 @@ def predicted(docs: DataFrame, model: Model, text: str = "text") -> tuple[DataFr
             named = pa.RecordBatch.from_arrays(batch.columns, names=[str(i) for i in range(batch.num_columns)])
             for part in (p.slice(i, 1024) for p in bytesets.slices(named, str(at)) for i in range(0, p.num_rows, 1024)):
                 data, offsets = bytesets.texts_of(part.column(at))
-                langs, scores = own.predict(feature_rows(data, offsets))
+                rows = feature_rows(data, offsets)
+                langs, scores = own.predict(rows)
+                if reject:
+                    for row in np.flatnonzero(own.unlike(rows, langs, signs(data, offsets))):
+                        langs[row] = UNDETERMINED
                 plain = np.concatenate(([0], np.cumsum(letters[data])))
                 for row in np.flatnonzero(np.diff(plain[offsets]) == 0):
                     if not regex.search(r"\p{L}", data[offsets[row]:offsets[row + 1]].tobytes().decode("utf-8", "replace")):

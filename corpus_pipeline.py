@@ -20,16 +20,13 @@ from battlelake.llm import bpe, decontaminate, languages, near_dup, secrets  # n
 #: Words of a shingle in the near-copy stage; op1's own query counts in four.
 SHINGLE = 5
 
-#: A language less sure than this is a rejection; even a text of two words is surer.
-MIN_LANGUAGE_SCORE = 0.2
-
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without a letter, or in no language that was learnt, go; ``lang`` stays as it was given."""
     held_out = languages.held_out(F.col("doc_id").try_cast("bigint"))
     model = languages.train(docs.where(~held_out).select("text", "lang"))
-    found, lang, score = languages.predicted(docs, model)
-    return found.where((F.col(lang) != languages.UNDETERMINED) & (F.col(score) >= MIN_LANGUAGE_SCORE)).select(*docs.columns)
+    found, lang, _ = languages.predicted(docs, model, reject=True)
+    return found.where(F.col(lang) != languages.UNDETERMINED).select(*docs.columns)
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -35,3 +35,22 @@ def test_near_copies_are_counted_in_five_words(spark, rng):
     docs = spark.createDataFrame([(d, t, "en", "s", 1) for d, t in rows], "doc_id long, text string, lang string, source string, n_chars long")
     kept = {r["doc_id"] for r in corpus_pipeline.drop_near_duplicates(spark, docs, "").collect()}
     assert kept == brute_kept(rows)
+
+
+FOREIGN = [
+    "Все люди рождаются свободными и равными в своем достоинстве и правах.", "Привет мир",
+    "すべての人間は、生まれながらにして自由であり、かつ、尊厳と権利とについて平等である。", "Όλοι οι άνθρωποι γεννιούνται ελεύθεροι και ίσοι",
+    "xkq zvwp qjjx bvkz wqpx zzkj vfgq kxjw pqzx", "Wszyscy ludzie rodzą się wolni i równi pod względem swej godności i swych praw",
+]
+
+
+def test_documents_in_no_learnt_language_go(spark, real_docs):
+    """Other scripts, junk with letters and other languages go; every document of the table with a letter stays."""
+    import re
+
+    clean = [tuple(r) for r in real_docs.collect()]
+    odd = [(10**6 + i, t, None, "s", 1) for i, t in enumerate([*FOREIGN, "12 34 !!", ""])]
+    short = [(2 * 10**6 + i, t, None, "s", 1) for i, t in enumerate(["a", "The", "Von.", "Osrañ."])]
+    docs = spark.createDataFrame([*clean, *odd, *short], real_docs.schema)
+    kept = {r["doc_id"] for r in corpus_pipeline.identify_language(spark, docs, "").collect()}
+    assert kept == {r[0] for r in [*clean, *short] if re.search(r"[^\W\d_]", r[1] or "")}
