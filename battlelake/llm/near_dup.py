@@ -107,8 +107,8 @@ def band_keys(least: np.ndarray) -> np.ndarray:
 
 
 def prepared(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
-    """(doc_id, n_shingles, node, bands, sketch); the last three are null for an empty set."""
-    names = ["doc_id", "n_shingles", "node", "bands", "sketch"]
+    """(doc_id, n_shingles, node, bands, sketch, text_hash); node, bands and sketch are null for an empty set."""
+    names = ["doc_id", "n_shingles", "node", "bands", "sketch", "text_hash"]
 
     def prepare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -125,11 +125,12 @@ def prepared(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
                     sketches.append(sketch(least).view(np.int64))
                 yield pa.RecordBatch.from_arrays([
                     part.column("doc_id"), pa.array([len(s) for s in sets], pa.int64()), pa.array(nodes, pa.int64()),
-                    pa.array(bands, pa.list_(pa.int64())), pa.array(sketches, pa.list_(pa.int64())),
+                    pa.array(bands, pa.list_(pa.int64())), pa.array(sketches, pa.list_(pa.int64())), part.column("text_hash"),
                 ], names=names)
 
-    rows = bytesets.only(docs, doc_id="bigint", text="string")
-    return bytesets.map_arrow(rows, prepare, "doc_id long, n_shingles long, node long, bands array<bigint>, sketch array<bigint>")
+    rows = bytesets.only(docs, doc_id="bigint", text="string").withColumn("text_hash", F.xxhash64("text"))
+    return bytesets.map_arrow(
+        rows, prepare, "doc_id long, n_shingles long, node long, bands array<bigint>, sketch array<bigint>, text_hash long")
 
 
 def _differing(a: str, b: str):
@@ -332,6 +333,11 @@ def _crossing(pairs: DataFrame, labels: DataFrame) -> DataFrame:
 
 def components(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
     """Per row of ``docs``: doc_id, n_shingles, component_id, kept (whether it is the one that stays)."""
+    return _placed(docs, shingle, percent).select("doc_id", "n_shingles", "component_id", (F.col("doc_id") == F.col("component_id")).alias("kept"))
+
+
+def _placed(docs: DataFrame, shingle: int, percent: int) -> DataFrame:
+    """(doc_id, n_shingles, component_id, node, text_hash, chosen) per row: ``chosen`` is the node that its component keeps."""
     rows = session.cut_lineage(prepared(docs, shingle))
     known = rows.where("doc_id IS NOT NULL AND node IS NOT NULL")
     nodes = session.cut_lineage(known.groupBy("node").agg(
@@ -357,25 +363,32 @@ def components(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERCENT)
     if not links.isEmpty():
         labels = joined_components(edges.unionByName(links))
 
-    least = labels.join(of_node, "node").groupBy("label").agg(F.min("doc_id").alias("component_id"))
-    of_label = labels.join(least, "label").select("node", "component_id")
-    alone = of_node.join(of_label, "node", "left").select("node", F.coalesce("component_id", "doc_id").alias("component_id"))
+    least = labels.join(of_node, "node").groupBy("label").agg(F.min(F.struct("doc_id", "node")).alias("least"))
+    of_label = labels.join(least, "label").select("node", "least")
+    alone = of_node.join(of_label, "node", "left").select(
+        "node", F.coalesce("least.doc_id", "doc_id").alias("component_id"), F.coalesce("least.node", "node").alias("chosen"))
     own = F.when(F.col("node").isNull(), F.col("doc_id")).otherwise(F.col("component_id"))
-    placed = rows.select("doc_id", "n_shingles", "node").join(alone, "node", "left").select(
-        "doc_id", "n_shingles", F.when(F.col("doc_id").isNotNull(), own).alias("component_id"))
-    return placed.withColumn("kept", F.col("doc_id") == F.col("component_id"))
+    return rows.select("doc_id", "n_shingles", "node", "text_hash").join(alone, "node", "left").select(
+        "doc_id", "n_shingles", F.when(F.col("doc_id").isNotNull(), own).alias("component_id"), "node", "text_hash", "chosen")
 
 
 def representatives(docs: DataFrame, key: str = "doc_id", text: str = "text", shingle: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
-    """One document of each group, with all columns of ``docs``: the least doc_id, and one row of that.
+    """One document of each group, with all columns of ``docs``: of the least doc_id's texts in it, one row of one.
 
-    Rows with a null doc_id stay. Rows of one doc_id count as one document.
+    Rows with a null doc_id stay. A doc_id may keep several rows if its texts are in several groups; texts without
+    words are in no group and go only as repeats of one doc_id and text.
     """
-    plain = docs.select(F.col(f"`{key}`").cast("bigint").alias("doc_id"), F.col(f"`{text}`").alias("text"))
-    kept = components(plain, shingle, percent).where("kept").select(F.col("doc_id").alias("_kept_id")).distinct()
+    wanted = F.col(f"`{text}`").try_cast("string")
+    plain = docs.select(F.col(f"`{key}`").cast("bigint").alias("doc_id"), wanted.alias("text"))
+    placed = _placed(plain, shingle, percent)
+    of_groups = placed.where("node = chosen AND doc_id = component_id").groupBy("doc_id", "node").agg(F.min("text_hash").alias("text_hash"))
+    wordless = placed.where("node IS NULL AND doc_id IS NOT NULL").select("doc_id", "text_hash").distinct()
+    kept = of_groups.select("doc_id", "text_hash").unionByName(wordless).select(
+        F.col("doc_id").alias("_kept_id"), F.col("text_hash").alias("_kept_text"))
     number = bytesets.free_name(docs, "row_in_group")
-    once = Window.partitionBy(F.col(f"`{key}`")).orderBy(F.xxhash64(F.col(f"`{text}`")))
+    once = Window.partitionBy(F.col(f"`{key}`"), F.xxhash64(wanted)).orderBy(F.xxhash64(wanted))
     known = docs.where(F.col(f"`{key}`").isNotNull())
-    chosen = known.join(kept, known[key].cast("bigint") == F.col("_kept_id"), "left_semi")
+    chosen = known.join(
+        kept, (known[key].cast("bigint") == F.col("_kept_id")) & (F.xxhash64(wanted) == F.col("_kept_text")), "left_semi")
     chosen = chosen.withColumn(number, F.row_number().over(once)).where(F.col(number) == 1).drop(number)
     return chosen.unionByName(docs.where(F.col(f"`{key}`").isNull()))

@@ -54,3 +54,14 @@ def test_documents_in_no_learnt_language_go(spark, real_docs):
     docs = spark.createDataFrame([*clean, *odd, *short], real_docs.schema)
     kept = {r["doc_id"] for r in corpus_pipeline.identify_language(spark, docs, "").collect()}
     assert kept == {r[0] for r in [*clean, *short] if re.search(r"[^\W\d_]", r[1] or "")}
+
+
+def test_no_text_goes_with_a_repeated_id(spark):
+    """One doc_id with several texts: each group keeps one row, whichever texts share the id."""
+    one, two, three = (" ".join(f"{x}{i}" for i in range(30)) for x in "abc")
+    rows = [(1, one), (2, one), (2, two), (2, two), (3, two.upper()), (4, three), (4, three + " end"), (5, ""), (5, None), (5, ""), (6, three)]
+    docs = spark.createDataFrame([(d, t, "en", "s", 1) for d, t in rows], "doc_id long, text string, lang string, source string, n_chars long")
+    kept = [(r["doc_id"], r["text"]) for r in corpus_pipeline.drop_near_duplicates(spark, docs, "").collect()]
+    ids = sorted(d for d, _ in kept)
+    assert ids == [1, 2, 4, 5, 5]
+    assert {(1, one), (2, two), (5, ""), (5, None)} <= set(kept) and {t for d, t in kept if d == 4} <= {three, three + " end"}
