@@ -22,9 +22,14 @@ SHINGLE = 5
 
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without a letter, or in no language that was learnt, go; ``lang`` stays as it was given."""
+    """Documents without a letter, or in no language that was learnt, go; ``lang`` stays as it was given.
+
+    Where nothing could be learnt, only those without a letter go.
+    """
     held_out = languages.held_out(F.col("doc_id").try_cast("bigint"))
     model = languages.train(docs.where(~held_out).select("text", "lang"))
+    if not model.families:
+        return docs.where(F.col("text").rlike(r"\p{L}"))
     found, lang, _ = languages.predicted(docs, model, reject=True)
     return found.where(F.col(lang) != languages.UNDETERMINED).select(*docs.columns)
 

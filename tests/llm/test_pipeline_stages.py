@@ -1,6 +1,7 @@
 """The pipeline's stages against brute force on small tables."""
 
 import corpus_pipeline
+from pyspark.sql import functions as F
 
 
 def five_word_sets(text):
@@ -65,3 +66,10 @@ def test_no_text_goes_with_a_repeated_id(spark):
     ids = sorted(d for d, _ in kept)
     assert ids == [1, 2, 4, 5, 5]
     assert {(1, one), (2, two), (5, ""), (5, None)} <= set(kept) and {t for d, t in kept if d == 4} <= {three, three + " end"}
+
+
+def test_without_labels_only_letterless_documents_go(spark, odd_docs):
+    unlabelled = odd_docs.withColumn("lang", F.lit(None).cast("string"))
+    got = corpus_pipeline.identify_language(spark, unlabelled, "")
+    assert got.columns == odd_docs.columns
+    assert sorted(str(r["doc_id"]) for r in got.collect()) == sorted(map(str, [None, 4, 4, 5, 7, 8, 9, 10, -3]))
