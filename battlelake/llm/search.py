@@ -9,7 +9,8 @@ most k rows for each query, and a window keeps the k best of all blocks.
 Queries are packed into blocks too. Each pair of a query block and a vector block is one row, dealt out by both
 numbers, so no task holds more than one block of each.
 
-Defined cases: a vector that is null, or holds a null or a non-finite component, or one beyond 2**40 in size, takes no part; vectors of
+Defined cases: a vector that is null, or holds a null or a non-finite component, takes no part; a component
+too large to be scaled, and a score among the best that fits no long, are errors; vectors of
 different lengths are not comparable, and each query meets those of its own length; equal scores go to the smaller
 vec_id; rows of one vec_id as the query's are not its candidates, and other repeated rows count each; equal
 query rows are asked once; a row with a null vec_id takes no part.
@@ -17,6 +18,7 @@ query rows are asked once; a row with a null vec_id takes no part.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -36,14 +38,20 @@ CELLS = 256
 #: Exact vectors read at a time for one group of queries.
 READ_ROWS = 64
 
-#: Components beyond this would not be exact in the sums.
-LARGEST = 2.0**40
+#: Larger numbers are whole as doubles. Larger scores are beyond doubles.
+WHOLE, LARGEST = 2.0**52, 2**1023
 
 
 def whole_vectors(rows: DataFrame, key: str, vector: str, scale: float) -> DataFrame:
     """(key, vector of floor(scale * x)) of the rows that take part."""
-    numbers = F.transform(F.col(f"`{vector}`"), lambda x: F.floor(x.cast("double") * scale).cast("double"))
-    valid = F.forall(F.col(f"`{vector}`"), lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x.cast("double") * scale) <= LARGEST))
+    def whole(x: Column) -> Column:
+        scaled = x.cast("double") * scale
+        return (F.when(F.abs(scaled) < WHOLE, F.floor(scaled).cast("double")).when(F.abs(scaled) < float("inf"), scaled)
+                .otherwise(F.raise_error(F.lit("a component is too large to be scaled")).cast("double")))
+
+    valid = F.forall(F.col(f"`{vector}`"), lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x.cast("double")) < float("inf")))
+    # Vectors that take no part are not scaled, in whatever order the plan has the filter.
+    numbers = F.when(valid, F.transform(F.col(f"`{vector}`"), whole))
     return rows.where(F.col(f"`{key}`").isNotNull() & F.col(f"`{vector}`").isNotNull() & valid).select(
         F.col(f"`{key}`").cast("bigint").alias("key"), numbers.alias("vector"))
 
@@ -96,20 +104,23 @@ def block_top(queries: np.ndarray, query_keys: np.ndarray, keys: np.ndarray, exa
               low: np.ndarray, width: np.ndarray, k: int) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
     """For each query: its position, and keys and scores of the block's k best candidates."""
     middles = low + (cells + 0.5) * width
-    approximate = queries @ middles.T
-    # Half a cell in each dimension, and what the sums may have been rounded by.
-    reach = np.abs(queries) @ width / 2
-    upper = approximate + reach[:, None]
-    upper += np.abs(upper) * 1e-9 + 1e-6
+    with np.errstate(over="ignore", invalid="ignore"):
+        approximate = queries @ middles.T
+        # Half a cell in each dimension, and what the sums may have been rounded by, also where large terms cancel.
+        reach = np.abs(queries) @ (width / 2 + (np.abs(low) + CELLS * width) * ((exact.shape[1] + 8) * 2.0**-50))
+        upper = approximate + reach[:, None]
+        upper += np.abs(upper) * 1e-9 + 1e-6
+    # A bound beyond doubles says nothing; only what was read is -inf.
+    upper = np.nan_to_num(upper, copy=False, nan=np.inf, posinf=np.inf, neginf=-np.finfo(float).max)
     upper[query_keys[:, None] == keys[None, :]] = -np.inf
-    small = np.abs(queries).max(initial=0) * np.abs(exact).max(initial=0) * max(1, exact.shape[1]) < 2.0**53
+    small = float(np.abs(queries).max(initial=0)) * float(np.abs(exact).max(initial=0)) * max(1, exact.shape[1]) < 2.0**53
     for q in range(len(queries)):
         bounds = upper[q]
         best_keys, best_scores = np.zeros(0, np.int64), np.zeros(0, np.float64 if small else object)
         at, n = 0, len(bounds)
         size = min(n, READ_ROWS)
         order = np.argpartition(-bounds, size - 1)[:size] if size < n else np.arange(n)
-        read = order[np.isfinite(bounds[order])]
+        read = order[bounds[order] > -np.inf]
         while True:
             scores = exact[read] @ queries[q] if small else np.array([sum(int(a) * int(b) for a, b in zip(x, queries[q], strict=True)) for x in exact[read]], object)
             best_keys, best_scores = np.concatenate((best_keys, keys[read])), np.concatenate((best_scores, scores))
@@ -117,7 +128,8 @@ def block_top(queries: np.ndarray, query_keys: np.ndarray, keys: np.ndarray, exa
             best_keys, best_scores = best_keys[chosen], best_scores[chosen]
             bounds[read] = -np.inf
             # The next in order of their bounds, as long as one could still be among the k best or equal the last.
-            open_ = np.flatnonzero(bounds >= float(best_scores[-1])) if len(best_scores) == k else np.flatnonzero(np.isfinite(bounds))
+            least = _as_double(best_scores[-1]) if len(best_scores) == k else -np.inf
+            open_ = np.flatnonzero((bounds > -np.inf) & (bounds >= least))
             if not len(open_):
                 break
             at += 1
@@ -126,6 +138,11 @@ def block_top(queries: np.ndarray, query_keys: np.ndarray, keys: np.ndarray, exa
         yield q, best_keys, best_scores
 
 
+def _as_double(score) -> float:
+    """The score, or an infinity where it is beyond doubles."""
+    return float(score) if -LARGEST < score < LARGEST else math.copysign(math.inf, score > 0 or -1)
+
+
 def top_k(vectors: DataFrame, queries: Column, k: int = 5, key: str = "vec_id", vector: str = "embedding",
           scale: float = 256.0) -> DataFrame:
     """(query_id, rank, vec_id, score): for each row that ``queries`` selects, its k best rows of another key."""
@@ -150,9 +167,11 @@ def top_k(vectors: DataFrame, queries: Column, k: int = 5, key: str = "vec_id",
                 yield pa.RecordBatch.from_arrays([
                     pa.array(np.concatenate([np.full(len(x), own[q]) for q, x, _ in found]), pa.int64()),
                     pa.array(np.concatenate([x for _, x, _ in found]), pa.int64()),
-                    pa.array([int(s) for _, _, x in found for s in x], pa.int64()),
-                ], names=["query_id", "vec_id", "score"])
-
-    best = bytesets.map_arrow(wide, search, "query_id long, vec_id long, score long")
-    order = Window.partitionBy("query_id").orderBy(F.col("score").desc(), "vec_id")
-    return best.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
+                    pa.array([min(max(int(s), -2**63), 2**63 - 1) for _, _, x in found for s in x], pa.int64()),
+                    pa.array([(int(s) >= 2**63) - (int(s) < -2**63) for _, _, x in found for s in x], pa.int32()),
+                ], names=["query_id", "vec_id", "score", "beyond"])
+
+    best = bytesets.map_arrow(wide, search, "query_id long, vec_id long, score long, beyond int")
+    order = Window.partitionBy("query_id").orderBy(F.col("beyond").desc(), F.col("score").desc(), "vec_id")
+    score = F.when(F.col("beyond") == 0, F.col("score")).otherwise(F.raise_error(F.lit("a score fits no long")).cast("long"))
+    return best.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", score.alias("score"))
