@@ -59,9 +59,7 @@ SELECT piece, token FROM step WHERE NOT live ORDER BY piece, pos
 """
 
 DECODE = """
-SELECT text_no, string_agg(bytes, '') AS bytes
-FROM (SELECT i.text_no, v.bytes FROM ids_in i JOIN vocabulary v ON v.id = i.id ORDER BY i.pos)
-GROUP BY text_no
+SELECT i.text_no, string_agg(v.bytes, '' ORDER BY i.pos) AS bytes FROM ids_in i JOIN vocabulary v ON v.id = i.id GROUP BY i.text_no
 """
 
 
@@ -81,7 +79,7 @@ class Codec:
             for token, rank in self.ranks.items() for k in range(1, len(token))
             if token[:k] in self.ranks and token[k:] in self.ranks
         ]
-        # One thread keeps the order in which string_agg meets its rows.
+        # Spark runs a task for each core; a task's queries take one thread.
         self.db = duckdb.connect(config={"threads": 1, "memory_limit": "200MB"})
         self._table("merges_in", pair=pa.array([m[0] for m in merges], pa.int64()), merged=pa.array([m[1] for m in merges], pa.int32()))
         self.db.execute("CREATE TABLE merges AS SELECT * FROM merges_in")
@@ -92,8 +90,7 @@ class Codec:
     def _table(self, name: str, **columns) -> None:
         self.db.register(name, pa.table(columns))
 
-    def encode_pieces(self, pieces: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        raw = [p.encode("utf-8", "surrogatepass") for p in pieces]
+    def encode_pieces(self, raw: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
         out: list[np.ndarray | None] = [None] * len(raw)
         short = [i for i, b in enumerate(raw) if len(b) <= MAX_RECURSIVE]
         for at in range(0, len(short), PIECES_PER_QUERY):

@@ -9,11 +9,10 @@ asked of a library once per distinct character.
 from __future__ import annotations
 
 from collections.abc import Callable
+from typing import NamedTuple
 
 import numpy as np
 
-from battlelake.llm import bytesets
-
 LETTER, DIGIT, SPACE, OTHER = 1, 2, 3, 4
 
 
@@ -76,14 +75,24 @@ def piece_starts(codes: np.ndarray, offsets: np.ndarray, kinds: np.ndarray) -> n
     return np.flatnonzero(starts)
 
 
-def split(texts: list[str], classes: Classes) -> tuple[str, np.ndarray, np.ndarray, np.ndarray]:
-    """The joined text, the bounds of its pieces in code points, a hash of each piece, the first piece of each text."""
+class Pieces(NamedTuple):
+    """Pieces of several texts: all bytes, where pieces begin and end in them, and the first piece of each text."""
+
+    data: bytes
+    bounds: np.ndarray
+    first: np.ndarray
+
+    def taken(self, which: np.ndarray) -> list[bytes]:
+        data, bounds = self.data, self.bounds
+        return [data[a:b] for a, b in zip(bounds[which].tolist(), bounds[which + 1].tolist(), strict=True)]
+
+
+def split(texts: list[str], classes: Classes) -> Pieces:
     joined = "".join(texts)
-    codes = np.frombuffer(joined.encode("utf-32-le"), np.uint32)
+    codes = np.frombuffer(joined.encode("utf-32-le", "surrogatepass"), np.uint32)
     offsets = np.zeros(len(texts) + 1, np.int64)
     np.cumsum([len(t) for t in texts], out=offsets[1:])
     starts = piece_starts(codes, offsets, classes.of(codes))
-    bounds = np.append(starts, len(codes))
-    # Multiplying by an odd number and mixing the span's sum keeps distinct characters apart.
-    hashes = bytesets.span_hashes((codes.astype(np.uint64) + np.uint64(1)) * np.uint64(0xC2B2AE3D27D4EB4F), bounds[:-1], bounds[1:])
-    return joined, bounds, hashes, np.searchsorted(starts, offsets)
+    places = np.zeros(len(codes) + 1, np.int64)
+    np.cumsum(1 + (codes >= 0x80) + (codes >= 0x800) + (codes >= 0x10000), out=places[1:])
+    return Pieces(joined.encode("utf-8", "surrogatepass"), places[np.append(starts, len(codes))], np.searchsorted(starts, offsets))

@@ -6,6 +6,7 @@ looked at whole. A null text is an empty text.
 
 from __future__ import annotations
 
+import hashlib
 import tempfile
 import zipfile
 from collections.abc import Callable, Iterator
@@ -21,8 +22,11 @@ from pyspark.sql.types import StructType
 SLICE_BYTES = 1 << 20
 
 _ODD = np.uint64(0x9E3779B97F4A7C15)
-_powers = np.ones(1, np.uint64)
-_inverses = np.ones(1, np.uint64)
+#: The first 0 to 8 bytes of eight.
+_HEADS = np.array([(1 << 8 * k) - 1 for k in range(9)], np.uint64)
+
+#: Longer spans, in bytes, are rare: no natural word is.
+LONG_SPAN = 128
 
 
 def free_name(df: DataFrame, stem: str) -> str:
@@ -49,29 +53,28 @@ def mixed(values: np.ndarray) -> np.ndarray:
     return x
 
 
-def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
-    """The first ``n`` powers of the hash base and of its inverse modulo 2**64."""
-    global _powers, _inverses
-    if len(_powers) < n:
-        size = max(n, 2 * len(_powers), SLICE_BYTES + 1)
-        base = np.full(size, _ODD, np.uint64)
-        base[0] = 1
-        back = np.full(size, pow(int(_ODD), -1, 1 << 64), np.uint64)
-        back[0] = 1
-        _powers, _inverses = np.multiply.accumulate(base), np.multiply.accumulate(back)
-    return _powers[:n], _inverses[:n]
-
-
-def span_hashes(codes: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    """A hash of each span ``codes[start:end]``; equal spans have equal hashes wherever they stand."""
-    forward, back = powers(len(codes) + 1)
-    sums = np.zeros(len(codes) + 1, np.uint64)
-    np.cumsum(codes * forward[:-1], out=sums[1:])
-    return mixed((sums[ends] - sums[starts]) * back[starts] + (ends - starts).astype(np.uint64) * _ODD)
-
+def span_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, seed: int = 0) -> np.ndarray:
+    """A hash of the bytes of each span ``data[start:end]``; equal spans have equal hashes wherever they stand.
+
+    Eight bytes of all spans are taken in at a time, and every step mixes what was before with the next eight, so no algebra of
+    the whole word can make two of them meet. Spans over ``LONG_SPAN`` bytes are digested one by one.
+    """
+    sizes = ends - starts
+    padded = np.concatenate((data, np.zeros(8, np.uint8)))
+    eights = np.ndarray((len(data) + 1,), "<u8", padded, strides=(1,))
+    out = mixed(sizes.astype(np.uint64) * _ODD + np.uint64(seed))
+    live = np.flatnonzero((sizes > 0) & (sizes <= LONG_SPAN))
+    done = 0
+    while len(live):
+        chunk = eights[starts[live] + done] & _HEADS[np.minimum(sizes[live] - done, 8)]
+        out[live] = mixed((out[live] ^ chunk) + _ODD)
+        done += 8
+        live = live[sizes[live] > done]
+    for i in np.flatnonzero(sizes > LONG_SPAN).tolist():
+        digest = hashlib.blake2b(data[starts[i]:ends[i]].tobytes(), digest_size=8, salt=seed.to_bytes(8, "little"))
+        out[i] = int.from_bytes(digest.digest(), "little")
+    return out
 
-#: A fixed 64-bit code of each byte value, none of them zero.
-BYTE_CODES = mixed(np.arange(1, 257, dtype=np.uint64) * np.uint64(0x2545F4914F6CDD1D))
 
 LOWER = np.arange(256, dtype=np.uint8)
 LOWER[ord("A"):ord("Z") + 1] += 32

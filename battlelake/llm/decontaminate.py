@@ -39,7 +39,7 @@ INSIDE[0x30:0x3A] = INSIDE[0x61:0x7B] = INSIDE[0x80:] = True
 def _words(data: np.ndarray, offsets: np.ndarray):
     lower = bytesets.LOWER[data]
     starts, ends, rows = bytesets.words(lower, offsets, INSIDE)
-    return lower, starts, ends, rows, bytesets.span_hashes(bytesets.BYTE_CODES[lower], starts, ends)
+    return lower, starts, ends, rows, bytesets.span_hashes(lower, starts, ends)
 
 
 def _joined(lower: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> bytes:

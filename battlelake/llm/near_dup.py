@@ -69,7 +69,7 @@ def shingle_sets(data: np.ndarray, offsets: np.ndarray, shingle: int = SHINGLE)
     """The sorted distinct 64-bit shingle hashes of each text."""
     lower = bytesets.LOWER[data]
     starts, ends, rows = bytesets.words(lower, offsets, ~SPACES)
-    hashes = bytesets.span_hashes(bytesets.BYTE_CODES[lower], starts, ends)
+    hashes = bytesets.span_hashes(lower, starts, ends)
     bounds = np.searchsorted(rows, np.arange(len(offsets)))
     windows = bytesets.window_hashes(hashes, shingle)
     out = []

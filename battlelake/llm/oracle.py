@@ -60,3 +60,43 @@ SELECT d.doc_id, len(d.words)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS
     sha256(coalesce(items, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
 FROM d LEFT JOIN places USING (doc_id) LEFT JOIN named USING (doc_id)
 """
+
+_DISTANCE = "list_sum(list_transform(list_zip(v.part, c.entry_part), lambda z: (z[1] - z[2]) * (z[1] - z[2])))"
+
+
+def _assigned(number: int) -> str:
+    """Each part with its nearest entry of a round's codebooks."""
+    return f"""
+, d{number} AS (
+    SELECT v.row_no, v.p, c.entry, coalesce({_DISTANCE}, 0)::BIGINT AS distance FROM parts v JOIN book{number} c ON c.p = v.p
+), near{number} AS (
+    SELECT row_no, p, entry, distance FROM d{number} QUALIFY row_number() OVER (PARTITION BY row_no, p ORDER BY distance, entry) = 1
+)"""
+
+
+def _refined(number: int) -> str:
+    """The next round's codebooks: the floor of each component's mean, or the entry as it was."""
+    return f"""
+, means{number} AS (
+    SELECT p, entry, k, floor(sum(v.part[k])::DOUBLE / count(*))::BIGINT AS mean
+    FROM near{number} JOIN parts v USING (row_no, p), LATERAL (SELECT unnest(range(1, len(v.part) + 1)) AS k) GROUP BY p, entry, k
+), lists{number} AS (SELECT p, entry, list(mean ORDER BY k) AS entry_part FROM means{number} GROUP BY p, entry
+), book{number + 1} AS (
+    SELECT b.p, b.entry, coalesce(l.entry_part, b.entry_part) AS entry_part FROM book{number} b LEFT JOIN lists{number} l USING (p, entry)
+)"""
+
+
+SQL["op12_codes"] = f"""
+WITH whole AS (
+    SELECT row_number() OVER (ORDER BY vec_id, embedding) AS row_no, vec_id, label,
+        list_transform(embedding, lambda x: floor(256 * x::DOUBLE)::BIGINT) AS e
+    FROM embeddings WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), parts AS (
+    SELECT row_no, p::INTEGER AS p, e[p * len(e) // 16 + 1:(p + 1) * len(e) // 16] AS part FROM whole, range(16) t(p)
+), book0 AS (SELECT p, (row_no - 1)::INTEGER AS entry, part AS entry_part FROM parts WHERE row_no <= 64
+){_assigned(0)}{_refined(0)}{_assigned(1)}{_refined(1)}{_assigned(2)}, coded AS (
+    SELECT row_no, string_agg(lower(printf('%02x', entry)), '' ORDER BY p) AS code, sum(distance)::BIGINT AS error FROM near2 GROUP BY row_no
+), numbers AS (SELECT sha256(string_agg(array_to_string(entry_part, ','), ',' ORDER BY p, entry)) AS codebooks_sha256 FROM book2)
+SELECT vec_id, code, error, (sum(error) OVER (PARTITION BY label))::BIGINT AS label_error, codebooks_sha256
+FROM coded JOIN whole USING (row_no), numbers
+"""

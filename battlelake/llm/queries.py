@@ -8,7 +8,9 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from battlelake.llm import bpe, chat, decontaminate, languages, near_dup, search, secrets, token_counts, token_files, urls
+from battlelake.llm import (
+    alignment, bpe, chat, codes, decontaminate, languages, near_dup, pieces, search, secrets, token_counts, token_files, urls,
+)
 from battlelake.llm.oracle import SQL
 
 
@@ -56,10 +58,23 @@ def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.report(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
 
 
+def op11_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return alignment.report(
+        _table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model"))
+
+
+def op12_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return codes.report(_table(spark, sf_dir, "embeddings"))
+
+
+def op13_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pieces.report(_table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
         op1_near_dup, op2_secrets, op3_token_counts, op4_bpe, op5_search, op6_chat, op7_languages, op8_urls,
-        op9_token_files, op10_decontaminate)
+        op9_token_files, op10_decontaminate, op11_alignment, op12_codes, op13_pieces)
 }
 
 ORACLE: dict[str, str] = SQL

@@ -132,27 +132,38 @@ class LibraryEncoder:
                 return kind
         return bpe_split.SPACE
 
-    def encode_pieces(self, pieces: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    def encode_pieces(self, pieces: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
         """Pieces with anything but white space are set on lines of one text: a line feed never joins a piece."""
-        out: list[np.ndarray | None] = [None] * len(pieces)
-        plain = [i for i, p in enumerate(pieces) if not p.isspace() and "\n" not in p]
-        for at in range(0, len(plain), LINES):
-            lines = plain[at:at + LINES]
-            sizes = np.array([len(pieces[i].encode()) for i in lines], np.int64)
-            text = "\n".join(pieces[i] for i in lines)
+        plain = np.array([not p.isspace() and b"\n" not in p for p in pieces], bool)
+        # White space of more than ASCII is no line either: the library has its own rules for runs of it.
+        plain[plain] = [not (p[0] > 0x7F or p[-1] > 0x7F) or not p.decode().isspace() for p in map(pieces.__getitem__, np.flatnonzero(plain))]
+        sizes = np.zeros(len(pieces), np.int64)
+        chunks: list[np.ndarray] = []
+        lines = np.flatnonzero(plain)
+        for at in range(0, len(lines), LINES):
+            some = lines[at:at + LINES]
+            own = [pieces[i] for i in some.tolist()]
+            text = b"\n".join(own).decode()
             ids = np.array(self.library.encode_batch_fast([text], add_special_tokens=False)[0].ids, np.int32)
             ends = np.cumsum(self.bytes_of[ids])
-            piece_ends = np.cumsum(sizes + 1) - 1
+            piece_ends = np.cumsum(np.fromiter(map(len, own), np.int64, len(own)) + 1) - 1
             stop = np.searchsorted(ends, piece_ends)
             if not np.array_equal(ends[stop], piece_ends):
                 raise RuntimeError("the library split a piece differently")
-            start = np.concatenate(([0], stop[:-1] + 2))
-            for i, a, b in zip(lines, start, stop + 1, strict=True):
-                out[i] = ids[a:b].copy()
-        for i, piece in enumerate(pieces):
-            if out[i] is None:
-                out[i] = np.array(self.library.encode(piece, add_special_tokens=False).ids, np.int32)
-        return np.concatenate(out), np.array([len(x) for x in out], np.int64)
+            sizes[some] = np.diff(stop, prepend=-2) - 1
+            chunks.append(np.delete(ids, stop[:-1] + 1))
+        ids = np.concatenate(chunks) if chunks else np.zeros(0, np.int32)
+        if plain.all():
+            return ids, sizes
+        flat = {i: np.array(self.library.encode(pieces[i].decode(), add_special_tokens=False).ids, np.int32) for i in np.flatnonzero(~plain).tolist()}
+        for i, found in flat.items():
+            sizes[i] = len(found)
+        starts = np.cumsum(sizes) - sizes
+        out, other = np.zeros(int(sizes.sum()), np.int32), np.repeat(~plain, sizes)
+        out[~other] = ids
+        for i, found in flat.items():
+            out[starts[i]:starts[i] + len(found)] = found
+        return out, sizes
 
 
 @lru_cache(maxsize=2)
