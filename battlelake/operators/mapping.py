@@ -2,39 +2,31 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import DataFrame, functions as F
 
 from battlelake.session import cut_lineage, shuffle_width
 
-MAX_ID = 2**31 - 1
-
-
 def dense_ids(keys: DataFrame, key: str, id_name: str, start: int = 0) -> DataFrame:
     """Ids start+1, start+2, … in the order of ``key``, without sorting everything in one task.
 
-    The distinct keys are spread by range and stored together with the number of their range, so that the
-    ranges stay fixed for both passes over them. The first pass counts each range (one number per range
-    reaches the driver), the second numbers the rows inside each range and adds the ranges before it.
+    The distinct keys are spread by range, sorted and stored, one file for each range. A row's place in its file
+    (``_metadata.row_index``) and the rows of the files before it make its id, so nothing is shuffled or sorted again.
+    One number per file reaches the driver.
     """
     spark = keys.sparkSession
     stored = cut_lineage(
-        keys.select(key)
-        .repartitionByRange(shuffle_width(spark), key)
+        keys.select(key).repartitionByRange(shuffle_width(spark), key).sortWithinPartitions(key)
         .withColumn("range_no", F.spark_partition_id())
     )
+    # A file may be split over tasks and several files may share one; the range number says where a row belongs.
     counts = sorted((row["range_no"], row["n"]) for row in
                     stored.groupBy("range_no").agg(F.count(F.lit(1)).alias("n")).collect())
-    before, firsts = start, []
+    before, earlier = start, {}
     for range_no, n in counts:
-        firsts.append((range_no, before))
+        earlier[range_no] = before
         before += n
-    if before > MAX_ID:
-        raise OverflowError("more patterns than 32-bit ids")
-    offsets = spark.createDataFrame(firsts, "range_no int, ids_before long")
-    place = F.row_number().over(Window.partitionBy("range_no").orderBy(key))
-    return stored.join(offsets, "range_no").select(
-        key, (F.col("ids_before") + place).cast("int").alias(id_name)
-    )
+    offset = F.get(F.lit([earlier.get(i, 0) for i in range(max(earlier, default=0) + 1)]), F.col("range_no"))
+    return stored.select(key, (offset + F.col("_metadata.row_index") + 1).cast("int").alias(id_name))
 
 
 def new_mapping(patterns: DataFrame) -> DataFrame:
@@ -46,7 +38,10 @@ def added_ids(mapping: DataFrame, patterns: DataFrame) -> DataFrame:
     unknown = (
         patterns.select("deck_pattern").distinct().join(mapping, "deck_pattern", "left_anti")
     )
-    highest = mapping.agg(F.max("deck_pattern_id")).first()[0] or 0
+    return ids_after(unknown, mapping.agg(F.max("deck_pattern_id")).first()[0] or 0)
+
+
+def ids_after(unknown: DataFrame, highest: int) -> DataFrame:
     return dense_ids(unknown, "deck_pattern", "deck_pattern_id", start=highest)
 
 

@@ -41,10 +41,13 @@ def pattern_moments(results: DataFrame) -> DataFrame:
     )
 
 
+def merged_by(moments: DataFrame, keys: list[str]) -> DataFrame:
+    return moments.groupBy(*keys).agg(*_merged(), F.sum("len_sum").alias("len_sum"))
+
+
 def merge_moments(*states: DataFrame) -> DataFrame:
     every = reduce(DataFrame.unionByName, states)
-    keys = [c for c in every.columns if c not in MOMENTS]
-    return every.groupBy(*keys).agg(*_merged(), F.sum("len_sum").alias("len_sum"))
+    return merged_by(every, [c for c in every.columns if c not in MOMENTS])
 
 
 def scored(moments: DataFrame, pattern_key: str = "deck_pattern") -> DataFrame:

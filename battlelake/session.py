@@ -67,6 +67,40 @@ def hadoop_path(spark: SparkSession, path: str):
     return target, target.getFileSystem(context._jsc.hadoopConfiguration())
 
 
+def put_text(spark: SparkSession, path: str, text: str) -> None:
+    """Store a small text so that it is there whole or not at all; an earlier one at the path is replaced."""
+    draft, files = hadoop_path(spark, f"{path}.{uuid.uuid4().hex}.draft")
+    target, _ = hadoop_path(spark, path)
+    out = files.create(draft, True)
+    try:
+        out.write(bytearray(text.encode()))
+    finally:
+        out.close()
+    files.delete(target, False)
+    if not files.rename(draft, target):
+        raise OSError(f"{path} could not be written")
+
+
+def get_text(spark: SparkSession, path: str) -> str | None:
+    target, files = hadoop_path(spark, path)
+    if not files.exists(target):
+        return None
+    source = files.open(target)
+    try:
+        return bytes(spark.sparkContext._jvm.org.apache.commons.io.IOUtils.toByteArray(source)).decode()
+    finally:
+        source.close()
+
+
+def names(spark: SparkSession, path: str) -> list[str]:
+    """Names of what is in a folder; drafts of texts are left out."""
+    target, files = hadoop_path(spark, path)
+    if not files.exists(target):
+        return []
+    found = (status.getPath().getName() for status in files.listStatus(target))
+    return sorted(name for name in found if not name.endswith(".draft") and not name.startswith("."))
+
+
 @contextmanager
 def step_scope(spark: SparkSession) -> Iterator[None]:
     """Delete the steps stored inside the block when it ends; its results must be written by then."""
@@ -87,7 +121,8 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     they use, and the planner knows the table's size.
     """
     path = work_path(df.sparkSession, "step")
-    df.write.parquet(path)
+    # One file for each task, whatever the session says: places in a file mean something to some readers.
+    df.write.option("maxRecordsPerFile", 0).parquet(path)
     if getattr(_scopes, "paths", None) is not None:
         _scopes.paths.append(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)

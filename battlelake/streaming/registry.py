@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window, functions as F
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, Window, functions as F
 
 from battlelake.functions.values import battle_ts
 from battlelake.schemas import REGISTRY
@@ -13,21 +13,27 @@ def empty(spark: SparkSession) -> DataFrame:
 
 
 def row(
-    model_name: str, last_time: DataFrame, mapping: DataFrame, training: DataFrame,
+    model_name: str, last_time: DataFrame, mapping: DataFrame | int, training: DataFrame | int,
     paths: dict[str, str] | None = None,
 ) -> DataFrame:
-    """One registry row; ``last_time`` holds the latest battle time in its only cell."""
+    """One registry row; ``last_time`` holds the latest battle time in its only cell.
+
+    Totals that are known already are given as numbers instead of the tables.
+    """
     paths = paths or {}
-    count = F.count(F.lit(1))
-    return mapping.sparkSession.range(1).select(
+
+    def total(of: DataFrame | int) -> Column:
+        return F.lit(of).cast("bigint") if isinstance(of, int) else of.agg(F.count(F.lit(1))).scalar()
+
+    return last_time.sparkSession.range(1).select(
         F.lit(model_name).alias("model_name"),
         battle_ts(last_time.scalar()).alias("timestamp"),
         *[
             F.lit(paths.get(name)).cast("string").alias(name)
             for name in ("model_path", "mapping_path", "matrix_path", "training_path")
         ],
-        mapping.agg(count).scalar().alias("total_patterns"),
-        training.agg(count).scalar().alias("total_training_samples"),
+        total(mapping).alias("total_patterns"),
+        total(training).alias("total_training_samples"),
     )
 
 
@@ -76,6 +82,21 @@ def write_audit_log(log: DataFrame, path: str) -> None:
     log.withColumn("request_timestamp", F.current_timestamp()).write.mode("append").parquet(path)
 
 
+def saved(df: DataFrame, path: str, by: str | None = None) -> int:
+    """Write a table in the place of an earlier one and read it back: its rows, after checking them and the columns.
+
+    The rows are counted while they are written; reading back takes the counts in the files' footers.
+    """
+    seen = Observation()
+    writer = df.observe(seen, F.count(F.lit(1)).alias("n")).write.mode("overwrite")
+    (writer.partitionBy(by) if by else writer).parquet(path)
+    stored = df.sparkSession.read.schema(df.schema).parquet(path)
+    count = seen.get["n"]
+    if stored.count() != count or (count and set(df.sparkSession.read.parquet(path).columns) != set(df.columns)):
+        raise OSError(f"{path} does not hold the table that was saved")
+    return count
+
+
 def verify_saved(df: DataFrame, path: str) -> tuple[int, list[str]]:
     """Read a saved table back: its rows and columns, after checking that both equal what was saved."""
     spark = df.sparkSession
