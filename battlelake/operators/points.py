@@ -2,16 +2,31 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
 from battlelake.functions.values import battle_ts, floor_mean
+from battlelake.session import cut_lineage, shuffle_width
 
 GAME_TAGS = ["battle_time", "player1_tag", "player2_tag"]
 GAME_FIELDS = ["player1_trophies", "player1_crowns", "player2_trophies", "player2_crowns"]
+#: What decides which of several points of one tag set stays: the greatest, field by field (nulls are least).
+POINT_ORDER = ["game_mode", *GAME_FIELDS]
 
 
 def game_points(flat: DataFrame) -> DataFrame:
-    """One point per tag set; points with equal tags replace each other."""
+    """One point per tag set; of points with equal tags the last in ``POINT_ORDER`` stays."""
+    return latest_points(game_point_rows(flat))
+
+
+def latest_points(points: DataFrame, more_keys: list[str] = [], written: list[str] = []) -> DataFrame:  # noqa: B006
+    """One point per tag set: the one with the greatest ``written`` columns, then in ``POINT_ORDER``."""
+    order = [*written, *POINT_ORDER]
+    last = points.groupBy(*more_keys, *GAME_TAGS).agg(F.max(F.struct(*order)).alias("last"))
+    return last.select(*[c if c in (*more_keys, *GAME_TAGS) else F.col(f"last.{c}").alias(c) for c in points.columns])
+
+
+def game_point_rows(flat: DataFrame) -> DataFrame:
+    """The point of each battle."""
     return flat.select(
         "battle_time",
         F.col("p1_tag").alias("player1_tag"),
@@ -21,7 +36,7 @@ def game_points(flat: DataFrame) -> DataFrame:
         F.col("p1_crowns").alias("player1_crowns"),
         F.col("p2_trophies").alias("player2_trophies"),
         F.col("p2_crowns").alias("player2_crowns"),
-    ).dropDuplicates(GAME_TAGS)
+    )
 
 
 def card_points(flat: DataFrame) -> DataFrame:
@@ -65,6 +80,26 @@ def join_series(left: DataFrame, right: DataFrame, left_name: str, right_name: s
     )
 
 
+def ordered_series(series: DataFrame, parts: int | None = None) -> DataFrame:
+    """Series rows with their place in time within each tag, in range partitions of (tag, time, row).
+
+    The stored rows of a partition are one file in order. A hot player's rows may lie in several: a row's place is its
+    place in the file, moved by what the player has in the files before, one row per file and player.
+    """
+    parts = parts or shuffle_width(series.sparkSession)
+    order = ["tag", "battle_time", "side", "trophies"]
+    rest = [c for c in series.columns if c not in order]
+    ranged = cut_lineage(
+        series.repartitionByRange(parts, *order, *rest).sortWithinPartitions(*order, *rest).withColumn("range_no", F.spark_partition_id()))
+    placed = ranged.withColumn("file_row", F.col("_metadata.row_index"))
+    runs = placed.groupBy("tag", "range_no").agg(F.count(F.lit(1)).alias("n"), F.min("file_row").alias("first"))
+    by_range = Window.partitionBy("tag").orderBy("range_no").rowsBetween(Window.unboundedPreceding, -1)
+    starts = runs.select(
+        F.col("tag").alias("of_tag"), F.col("range_no").alias("of_range"), (F.coalesce(F.sum("n").over(by_range), F.lit(0)) - F.col("first")).alias("shift"))
+    mine = F.col("tag").eqNullSafe(F.col("of_tag")) & (F.col("range_no") == F.col("of_range"))
+    return placed.join(starts, mine).select(*series.columns, (F.col("file_row") + F.col("shift") + 1).alias("place"))
+
+
 def player_trophy_series(points: DataFrame, tag: str | None = None) -> DataFrame:
     """Trophies over time for every player (or one), whichever side they played on.
 

@@ -377,6 +377,15 @@ _CHOSEN_EVENTS = "SELECT CAST(event_id AS VARCHAR) AS key"
 _K = "CAST(json_extract_string({0}, '$.k') AS INTEGER)"
 
 
+_cte("by_tag", f"""
+  SELECT battle_id, battle_time, game_mode, {_STRAIGHT} FROM battles WHERE p1_tag > p2_tag
+  UNION ALL SELECT battle_id, battle_time, game_mode, {_SWAPPED} FROM battles WHERE p1_tag <= p2_tag""", "battles")
+_SIDES_TEXT = "p1_tag, p1_trophies, p1_crowns, p2_tag, p2_trophies, p2_crowns"
+# The broken records of the streams, and why each cannot be used.
+_BROKEN = (
+    ('{"battle_time": ', "no battle in JSON"), ('{"battle_time":"20240131T000000.000Z","game_mode":72000006}', "no deck"))
+
+
 def statements() -> dict[str, str]:
     matrix_columns = f"deck_pattern, next_card, total_appearances, {_SCORES}"
     id_matrix = f"deck_pattern_id, next_card, total_appearances, {_SCORES}"
@@ -488,6 +497,11 @@ def statements() -> dict[str, str]:
         "player_trophy_series": _sql(
             "SELECT battle_time, player1_tag AS tag, 'player1' AS side, player1_trophies AS trophies FROM game_points"
             " UNION ALL SELECT battle_time, player2_tag, 'player2', player2_trophies FROM game_points", "game_points"),
+        "player_series_ordered": _sql(
+            "SELECT strptime(substr(battle_time, 1, 19), '%Y%m%dT%H%M%S.%g') AS ts, tag, side, trophies,"
+            " row_number() OVER (PARTITION BY tag ORDER BY battle_time, side, trophies) AS place FROM ("
+            "SELECT battle_time, player1_tag AS tag, 'player1' AS side, player1_trophies AS trophies FROM game_points"
+            " UNION ALL SELECT battle_time, player2_tag, 'player2', player2_trophies FROM game_points)", "game_points"),
         "field_series_join": _sql(
             "SELECT battle_time, player1_tag, player2_tag, player2_trophies AS trophies, player2_crowns AS crowns"
             " FROM game_points WHERE battle_time >= '20240105' AND battle_time < '20240120'", "game_points"),
@@ -542,11 +556,36 @@ def statements() -> dict[str, str]:
             " UNION ALL SELECT 'documents', count(*) FROM battle_log"
             " UNION ALL SELECT 'card_points', CAST(sum(len(list_distinct(list_concat(p1_deck, p2_deck)))) AS BIGINT)"
             " FROM battle_log UNION ALL SELECT 'quarantine', 2", "battle_log"),
+        "stream_fan_out_contents": _sql(
+            f"SELECT 'battles' AS table_name, concat_ws('|', battle_time, game_mode, {_SIDES_TEXT}, array_to_string(p1_deck, ','),"
+            " array_to_string(p2_deck, ',')) AS content FROM battle_log"
+            f" UNION ALL SELECT 'documents', concat_ws('|', battle_time, coalesce(m.name_en, 'Unknown'), {_SIDES_TEXT},"
+            f" array_to_string({_names('p1_deck')}, ','), array_to_string({_names('p2_deck')}, ','))"
+            " FROM battle_log b LEFT JOIN mode_dim m ON m.id = b.game_mode"
+            " UNION ALL SELECT 'game_points', concat_ws('|', battle_time, player1_tag, player2_tag, game_mode, player1_trophies,"
+            " player1_crowns, player2_trophies, player2_crowns) FROM game_points"
+            f" UNION ALL SELECT 'card_points', concat_ws('|', battle_time, game_mode, card, crowns, trophies) FROM"
+            f" ({_CARD_POINTS.replace('battles', 'battle_log')})"
+            + "".join(f" UNION ALL SELECT 'quarantine', '{text}|{reason}'" for text, reason in _BROKEN),
+            "battle_log", "mode_dim", "game_points"),
+        "stream_points_latest": _sql(
+            "SELECT battle_time, p1_tag AS player1_tag, p2_tag AS player2_tag, game_mode, p1_trophies AS player1_trophies,"
+            " CAST(p1_crowns + CASE WHEN battle_id % 60 = 0 THEN -1 WHEN battle_id % 30 = 0 THEN 2 ELSE 0 END AS INTEGER) AS player1_crowns,"
+            " p2_trophies AS player2_trophies, p2_crowns AS player2_crowns FROM battles", "battles"),
+        "stream_dead_letters": _sql(
+            "SELECT CAST(count(*) + 1 AS VARCHAR) AS value, 'stored' AS reason FROM battles"
+            + "".join(f" UNION ALL SELECT '{text}', '{reason}'" for text, reason in _BROKEN), "battles"),
+        "stream_progress": _sql(
+            "SELECT k AS batch_id, count(*) + k AS rows, k AS quarantined FROM (SELECT CASE WHEN battle_time < '20240108' THEN 0"
+            " WHEN battle_time < '20240122' THEN 1 ELSE 2 END::BIGINT AS k FROM battles) GROUP BY k", "battles"),
         "stream_matrix": _sql(f"SELECT {matrix_columns} FROM matrix", "matrix"),
         "stream_dedup": _sql(f"SELECT * REPLACE ({_DECKS}) FROM canonical", "canonical"),
         "stream_card_usage_window": _sql(
             "SELECT CAST(strptime(substr(battle_time, 1, 8), '%Y%m%d') AS DATE) AS battle_date, card, count(*) AS battles,"
             " CAST(sum(crowns) AS BIGINT) AS crowns FROM card_points GROUP BY ALL", "card_points"),
+        "stream_card_metrics": _sql(
+            "SELECT CAST(strptime(substr(battle_time, 1, 8), '%Y%m%d') AS DATE) AS battle_date, card, count(*) AS battles,"
+            f" CAST(sum(crowns) AS BIGINT) AS crowns FROM ({_CARD_POINTS.replace('FROM battles', 'FROM by_tag')}) GROUP BY ALL", "by_tag"),
         "log_daily_index": (
             "SELECT concat_ws(' ', CAST(event_id AS VARCHAR), event_type, props) AS value, true AS in_index_of_day FROM events"),
     }

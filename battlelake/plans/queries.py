@@ -385,6 +385,13 @@ def player_trophy_series(spark, sf_dir):
     return points.player_trophy_series(wide).drop("ts")
 
 
+@query
+def player_series_ordered(spark, sf_dir):
+    """Every player's series with the place of each point in time."""
+    wide = points.game_points(performance.flatten(_log(spark, sf_dir)))
+    return points.ordered_series(points.player_trophy_series(wide)).drop("battle_time")
+
+
 @query
 def field_series_join(spark, sf_dir):
     """Trophies beside crowns of player 2 within a time range, joined from the long form."""

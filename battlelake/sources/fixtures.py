@@ -5,7 +5,7 @@ The same formulas are written in SQL in ``plans/oracle.py``, so both engines see
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from battlelake.schemas import DECK_SIZE, EVENTS, TIME_FORMAT
 
@@ -96,6 +96,12 @@ def battle_log(nested: DataFrame) -> DataFrame:
     )
 
 
+def revised(nested: DataFrame, every: int, more: int) -> DataFrame:
+    """Battles with ids divisible by ``every``, again with other crowns of the first player."""
+    player = F.col("player1").withField("crowns", F.col("player1.crowns") + more)
+    return nested.where(F.col("battle_id") % every == 0).withColumn("player1", player)
+
+
 _PLAYER_DDL = "struct<tag:string,trophies:int,crowns:int,deck:array<int>>"
 _SIDES = f"array<struct<player1:{_PLAYER_DDL},player2:{_PLAYER_DDL}>>"
 

@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import StringType, StructField, StructType
 
 from battlelake import schemas
 from battlelake.functions.decks import file_cards
@@ -15,6 +17,45 @@ def decode(records: DataFrame, schema: StructType | str = schemas.BATTLE, value:
     return records.select(F.from_json(F.col(value).cast("string"), schema).alias("record")).select("record.*")
 
 
+CORRUPT = "_corrupt_record"
+
+
+def parsed(records: DataFrame, value: str = "value") -> DataFrame:
+    """Battles with their record beside them: its text, where it came from, and why it cannot be used.
+
+    ``reason`` is null for usable battles. ``origin`` is the column of that name if the records have one.
+    """
+    text = F.col(value).cast("string")
+    with_corrupt = StructType([*schemas.BATTLE.fields, StructField(CORRUPT, StringType())])
+    origin = F.col("origin") if "origin" in records.columns else F.lit(None).cast("string")
+    rows = records.select(
+        F.from_json(text, with_corrupt, {"columnNameOfCorruptRecord": CORRUPT}).alias("record"), text.alias("value"), origin.alias("origin"))
+    fields = rows.select("record.*", "value", "origin")
+    reason = (
+        F.when(F.coalesce(usable(fields), F.lit(False)), F.lit(None).cast("string"))
+        .when(F.col("value").isNull(), "no record").when(F.col(CORRUPT).isNotNull(), "no battle in JSON")
+        .when(F.col("battle_time").isNull(), "no battle_time").otherwise("no deck")
+    )
+    return fields.withColumn("reason", reason).drop(CORRUPT)
+
+
+BATTLE_FIELDS = schemas.BATTLE.fieldNames()
+LETTER_FIELDS = ["value", "origin", "reason"]
+
+
+def split_parsed(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Usable battles, and dead letters: the other records as they came, with the reason of each."""
+    good = F.col("reason").isNull()
+    return rows.where(good).select(*BATTLE_FIELDS), rows.where(~good).select(*LETTER_FIELDS)
+
+
+def mended(letters: DataFrame, mend: Callable[[Column], Column]) -> tuple[DataFrame, DataFrame]:
+    """Dead letters after ``mend`` of their text: the records that are usable now, and the letters that stay."""
+    again = parsed(letters.select(mend(F.col("value")).alias("value"), "origin"))
+    usable_now, rest = again.where(F.col("reason").isNull()), again.where(F.col("reason").isNotNull())
+    return usable_now.select("value", "origin"), rest.select(*LETTER_FIELDS)
+
+
 def decode_beside(records: DataFrame, schema: StructType | str) -> DataFrame:
     """Key and value as text, and the decoded value beside them."""
     return records.selectExpr("CAST(key AS STRING)", "CAST(value AS STRING)").withColumn(

@@ -7,18 +7,24 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.streaming.readwriter import DataStreamWriter
-from pyspark.sql.types import LongType, StructField, StructType
 
 from battlelake.functions.values import battle_date
 from battlelake.operators import canonical, enrich, points
 from battlelake.operators.performance import flatten
-from battlelake.session import hadoop_path
 from battlelake.sources import logs
 from battlelake.streaming import sources
-from battlelake.streaming.sinks import RowWriter, read_batches, write_batch
+from battlelake.streaming.delta_log import DeltaLog
+from battlelake.streaming.sinks import Commits, RowWriter, read_batches, write_batch
 from battlelake.streaming.state import StateTables
 
 
+#: A point of a battle and the batch that wrote it.
+POINTS = (
+    "battle_time string, player1_tag string, player2_tag string, game_mode int, player1_trophies int, player1_crowns int,"
+    " player2_trophies int, player2_crowns int, batch_id bigint"
+)
+
+
 def _started(writer: DataStreamWriter, checkpoint: str, available_now: bool, interval: str) -> StreamingQuery:
     """Every job has a checkpoint, so a restart goes on where it stopped."""
     writer = writer.option("checkpointLocation", checkpoint)
@@ -46,14 +52,14 @@ def _observed(stream: DataFrame, name: str) -> DataFrame:
 
     They are exact as long as a job reads its batch once, which is why none asks whether it is empty.
     """
-    bad = F.count_if(~F.coalesce(logs.usable(stream), F.lit(False)))
+    bad = F.count_if(F.col("reason").isNotNull())
     return stream.observe(name, F.count(F.lit(1)).alias("rows"), bad.alias("quarantined"))
 
 
 def _usable(batch: DataFrame, batch_id: int, quarantine: str) -> DataFrame:
-    """The records that can be used; the others are stored."""
-    good, bad = logs.split_usable(batch)
-    write_batch(bad, batch_id, quarantine)
+    """The battles that can be used; the other records are stored as they came, each with its reason."""
+    good, letters = logs.split_parsed(batch)
+    write_batch(letters, batch_id, quarantine)
     return good
 
 
@@ -70,7 +76,10 @@ def documents_job(
         finally:
             batch.unpersist()
 
-    return _per_batch(_observed(sources.battles(records), "documents"), work, checkpoint, available_now)
+    return _per_batch(_observed(sources.parsed_battles(records), "documents"), work, checkpoint, available_now)
+
+
+FAN_OUT_TABLES = ("battles", "documents", "game_points", "card_points", "quarantine")
 
 
 def fan_out_job(
@@ -78,22 +87,50 @@ def fan_out_job(
 ) -> StreamingQuery:
     """One reading of the topic to four tables: battles, search documents, game points and card points.
 
-    Records that cannot be used go to a fifth table.
+    Records that cannot be used go to a fifth table. All five take a batch with one commit: read them by ``Commits``.
     """
+    commits = Commits(records.sparkSession, out)
 
     def work(batch: DataFrame, batch_id: int) -> None:
+        writer = _query_id(batch.sparkSession, checkpoint)
+        if commits.done(batch_id, writer):
+            return
         batch.persist()
         try:
-            good = _usable(batch, batch_id, f"{out}/quarantine")
+            good, letters = logs.split_parsed(batch)
             flat = flatten(good)
-            write_batch(good, batch_id, f"{out}/battles")
-            write_batch(enrich.search_documents(good, cards, modes), batch_id, f"{out}/documents")
-            write_batch(points.game_points(flat), batch_id, f"{out}/game_points")
-            write_batch(points.card_points(flat), batch_id, f"{out}/card_points")
+            documents = enrich.search_documents(good, cards, modes).withColumn("timestamp", F.current_timestamp())
+            tables = (good, documents, points.game_points(flat), points.card_points(flat), letters)
+            commits.write(batch_id, writer, dict(zip(FAN_OUT_TABLES, tables, strict=True)))
         finally:
             batch.unpersist()
 
-    return _per_batch(_observed(sources.battles(records), "fan_out"), work, checkpoint, available_now)
+    return _per_batch(_observed(sources.parsed_battles(records), "fan_out"), work, checkpoint, available_now)
+
+
+def point_log(spark: SparkSession, out: str) -> DeltaLog:
+    """Game points as they stand: of all that were written for a tag set, the one of the last batch."""
+
+    def merge(rows: DataFrame, more_keys: list[str]) -> DataFrame:
+        return points.latest_points(rows, more_keys, written=["batch_id"])
+
+    return DeltaLog(spark, f"{out}/points", POINTS, points.GAME_TAGS, merge)
+
+
+def points_job(records: DataFrame, out: str, checkpoint: str, available_now: bool = False) -> StreamingQuery:
+    """Game points that replace each other: a battle that comes again, in this batch or a later one, is one point."""
+    log = point_log(records.sparkSession, out)
+
+    def work(batch: DataFrame, batch_id: int) -> None:
+        batch.persist()
+        try:
+            good = _usable(batch, batch_id, f"{out}/quarantine")
+            fresh = points.game_points(flatten(good)).withColumn("batch_id", F.lit(batch_id).cast("bigint"))
+            log.commit(batch_id, fresh)
+        finally:
+            batch.unpersist()
+
+    return _per_batch(_observed(sources.parsed_battles(records), "points"), work, checkpoint, available_now)
 
 
 def training_job(
@@ -109,43 +146,68 @@ def training_job(
         finally:
             batch.unpersist()
 
-    return _per_batch(_observed(sources.battles(records), "training"), work, checkpoint, available_now)
+    return _per_batch(_observed(sources.parsed_battles(records), "training"), work, checkpoint, available_now)
+
+
+#: The name of the operator whose state is the metrics table.
+_AGGREGATE = "stateStoreSave"
 
 
-def _add_new_battles(good: DataFrame, batch_id: int, path: str) -> None:
-    """Add the canonical battles that no earlier batch in the table at ``path`` has.
+def _each_once(rows: DataFrame) -> DataFrame:
+    """Parsed records, the larger tag first, without those that came before at any time in the life of the query.
 
-    The table is the memory of the job, so a copy is known however late it comes and no battle is too late. Of the
-    stored days only those of the batch are read. A battle without a readable time belongs to the day ``unknown``.
+    The keyed state is the memory, on disk beside the executors (RocksDB), so a record costs one look-up however much
+    has been stored and a copy is known however late it comes. There is no watermark: nothing is ever too late, and
+    the state grows with the distinct battles. It compares whole battles, not hashes. A record that cannot be used is
+    known by its text and origin.
     """
-    spark = good.sparkSession
-    day = F.coalesce(battle_date(F.col("battle_time")).cast("string"), F.lit("unknown"))
-    fresh = canonical.canonical_battles(good).withColumn("battle_day", day)
-    target, files = hadoop_path(spark, path)
-    if files.exists(target):
-        stored = spark.read.schema(StructType([*fresh.schema.fields, StructField("batch_id", LongType())]))
-        before = stored.option("basePath", path).parquet(path).where(F.col("batch_id") < batch_id).drop("batch_id")
-        known = before.join(fresh.select("battle_day").distinct(), "battle_day", "left_semi").alias("known")
-        same = F.col("fresh.battle_day") == F.col("known.battle_day")
-        for column in canonical.BATTLE_COLUMNS:
-            same &= F.col(f"fresh.{column}").eqNullSafe(F.col(f"known.{column}"))
-        new = fresh.alias("fresh").join(known, same, "left_anti")
-    else:
-        new = fresh
-    write_batch(new, batch_id, path, by="battle_day")
+    bad = F.col("reason").isNotNull()
+    # What cannot be used is told apart by its record alone, and what can by its battle alone.
+    blank = {c: F.when(~bad, F.col(c)) for c in canonical.BATTLE_COLUMNS}
+    letter = {c: F.when(bad, F.col(c)) for c in ("value", "origin")}
+    keyed = canonical.by_tag(rows.withColumns(blank | letter))
+    return keyed.dropDuplicates([*canonical.BATTLE_COLUMNS, *letter, "reason"])
 
 
 def dedup_job(records: DataFrame, out: str, checkpoint: str, available_now: bool = False) -> StreamingQuery:
-    """Canonical battles, each once, in ``out``/battles; records that cannot be used in ``out``/quarantine."""
+    """Canonical battles, each once, in ``out``/battles by day; records that cannot be used in ``out``/quarantine.
+
+    A battle without a readable time belongs to the day ``unknown``. In = battles + quarantined + copies.
+    """
+    day = F.coalesce(battle_date(F.col("battle_time")).cast("string"), F.lit("unknown"))
 
     def work(batch: DataFrame, batch_id: int) -> None:
         batch.persist()
         try:
-            _add_new_battles(_usable(batch, batch_id, f"{out}/quarantine"), batch_id, f"{out}/battles")
+            good = _usable(batch, batch_id, f"{out}/quarantine")
+            write_batch(good.withColumn("battle_day", day), batch_id, f"{out}/battles", by="battle_day")
         finally:
             batch.unpersist()
 
-    return _per_batch(_observed(sources.battles(records), "dedup"), work, checkpoint, available_now)
+    parsed = _observed(sources.parsed_battles(records), "dedup")
+    return _per_batch(_each_once(parsed), work, checkpoint, available_now)
+
+
+def card_metrics_job(records: DataFrame, out: str, checkpoint: str, available_now: bool = False) -> StreamingQuery:
+    """Usage and crown difference of each card per day, kept by the query's own state: each battle counts once.
+
+    De-duplication and aggregation are two keyed states of one query in update mode. ``out`` gets what each batch
+    changed; ``card_metrics`` reads the state as it stands. Days are those of the battles, however late they come.
+    """
+    parsed = _observed(sources.parsed_battles(records), "card_metrics")
+    cards = points.card_points(flatten(_each_once(parsed).where("reason IS NULL")))
+    daily = cards.withColumn("battle_date", battle_date(F.col("battle_time"))).groupBy("battle_date", "card").agg(
+        F.count(F.lit(1)).alias("battles"), F.sum("crowns").alias("crowns"))
+    writer = daily.writeStream.outputMode("update").foreachBatch(lambda batch, batch_id: write_batch(batch, batch_id, out))
+    return _started(writer, checkpoint, available_now, "1 minute")
+
+
+def card_metrics(spark: SparkSession, checkpoint: str) -> DataFrame:
+    """The table of ``card_metrics_job``, from the state after its last batch."""
+    operator = spark.read.format("state-metadata").load(checkpoint).where(F.col("operatorName") == _AGGREGATE).first()["operatorId"]
+    state = spark.read.format("statestore").option("operatorId", operator).load(checkpoint)
+    count, crowns = state.schema["value"].dataType.fieldNames()[:2]
+    return state.select("key.battle_date", "key.card", F.col(f"value.{count}").alias("battles"), F.col(f"value.{crowns}").alias("crowns"))
 
 
 def card_usage_job(records: DataFrame, out: str, checkpoint: str, available_now: bool = False) -> StreamingQuery:
@@ -166,7 +228,7 @@ def card_usage_job(records: DataFrame, out: str, checkpoint: str, available_now:
         finally:
             batch.unpersist()
 
-    return _per_batch(_observed(sources.battles(records), "card_usage"), work, checkpoint, available_now)
+    return _per_batch(_observed(sources.parsed_battles(records), "card_usage"), work, checkpoint, available_now)
 
 
 def card_usage(spark: SparkSession, out: str) -> DataFrame:
@@ -183,8 +245,30 @@ def log_job(lines: DataFrame, out: str, checkpoint: str, available_now: bool = F
 
 
 def row_job(
-    records: DataFrame, connect: Callable, checkpoint: str, available_now: bool = False,
+    records: DataFrame, connect: Callable, checkpoint: str, available_now: bool = False, quarantine: str | None = None,
 ) -> StreamingQuery:
-    """Decoded battles one by one to an outside store, over one connection per partition."""
-    good, _ = logs.split_usable(_observed(sources.battles(records), "rows"))
-    return _started(good.writeStream.foreach(RowWriter(connect)), checkpoint, available_now, "1 minute")
+    """Decoded battles one by one to an outside store, over one connection per partition and batch.
+
+    Records that cannot be used go to ``quarantine``, by default beside the checkpoint.
+    """
+    letters = quarantine or f"{checkpoint}-quarantine"
+
+    def work(batch: DataFrame, batch_id: int) -> None:
+        batch.persist()
+        try:
+            _usable(batch, batch_id, letters).foreachPartition(RowWriter(connect).all_of(batch_id))
+        finally:
+            batch.unpersist()
+
+    return _per_batch(_observed(sources.parsed_battles(records), "rows"), work, checkpoint, available_now)
+
+
+def replay(spark: SparkSession, quarantine: str, mend: Callable, records: str, number: int) -> DataFrame:
+    """Send dead letters through their job again once ``mend`` (text column to text column) makes them usable.
+
+    The mended records become files of the folder that the job reads; one replay ``number`` is written once. Returns
+    the letters that stay as they are.
+    """
+    usable_now, rest = logs.mended(spark.read.option("basePath", quarantine).parquet(quarantine), mend)
+    usable_now.select("value").write.mode("ignore").text(f"{records}/replay={number}")
+    return rest

@@ -2,10 +2,14 @@
 
 from __future__ import annotations
 
+import json
 from collections.abc import Callable
 from typing import Any
 
-from pyspark.sql import DataFrame, SparkSession, Window, functions as F
+from pyspark import TaskContext
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, Window, functions as F
+
+from battlelake.session import get_text, names, put_text
 
 
 def write_batch(df: DataFrame, batch_id: int, path: str, by: str | None = None) -> None:
@@ -25,6 +29,67 @@ def read_latest(spark: SparkSession, path: str, keys: list[str]) -> DataFrame:
     return rows.withColumn("place", place).where(F.col("place") == 1).drop("place", "batch_id")
 
 
+class Commits:
+    """Several tables that take a batch together: its commit is written last, readers go by the commits.
+
+    Each table has the batch in a folder of its own. A batch without a commit is seen in none of them and is written
+    anew when it is run again; a batch with one is left alone. Batches are committed in order, so readers see all up to
+    the last commit.
+    """
+
+    def __init__(self, spark: SparkSession, path: str):
+        self.spark, self.path = spark, path.rstrip("/")
+
+    def batches(self) -> list[int]:
+        return sorted(int(name) for name in names(self.spark, f"{self.path}/commits"))
+
+    def commit_of(self, batch_id: int) -> dict | None:
+        """Writer, and per table the rows, files and checksum of a batch."""
+        text = get_text(self.spark, f"{self.path}/commits/{batch_id}")
+        return None if text is None else json.loads(text)
+
+    def done(self, batch_id: int, writer: str) -> bool:
+        """Whether the batch has been committed; an error if by another query, to which the number means another batch."""
+        found = self.commit_of(batch_id)
+        if found and found["writer"] != writer:
+            raise ValueError(f"batch {batch_id} at {self.path} belongs to the query {found['writer']}, not to {writer}")
+        return found is not None
+
+    def write(self, batch_id: int, writer: str, tables: dict[str, DataFrame]) -> None:
+        written = {}
+        for table, rows in tables.items():
+            path, seen = f"{self.path}/{table}/batch_id={batch_id}", Observation()
+            write_batch(rows.observe(seen, *_checks(rows)), batch_id, f"{self.path}/{table}")
+            stored = self.spark.read.schema(rows.schema).parquet(path)
+            found = {"rows": seen.get["rows"], "checksum": str(seen.get["checksum"]), "files": len(stored.inputFiles())}
+            if stored.count() != found["rows"]:
+                raise OSError(f"{path} does not hold the rows that were written")
+            written[table] = found
+        put_text(self.spark, f"{self.path}/commits/{batch_id}", json.dumps({"writer": writer, "tables": written}))
+
+    def read(self, table: str) -> DataFrame:
+        """The table's committed rows, with the number of their batch."""
+        path, last = f"{self.path}/{table}", max(self.batches(), default=-1)
+        rows = self.spark.read.option("basePath", path).parquet(path)
+        return rows.where(F.col("batch_id") <= last)
+
+    def differing(self, batch_id: int) -> list[str]:
+        """Tables whose stored rows are not those that were committed."""
+        out = []
+        for table, told in self.commit_of(batch_id)["tables"].items():
+            rows = self.spark.read.parquet(f"{self.path}/{table}/batch_id={batch_id}")
+            found = rows.agg(*_checks(rows)).first()
+            if (found["rows"], str(found["checksum"])) != (told["rows"], told["checksum"]):
+                out.append(table)
+        return out
+
+
+def _checks(rows: DataFrame) -> list[Column]:
+    """Number of rows, and a sum over their hashes that doesn't depend on their order."""
+    hashed = F.xxhash64(*sorted(rows.columns)).cast("decimal(20,0)")
+    return [F.count(F.lit(1)).alias("rows"), F.coalesce(F.sum(hashed), F.lit(0).cast("decimal(30,0)")).cast("decimal(38,0)").alias("checksum")]
+
+
 class RowWriter:
     """Row-by-row sink: one connection per partition and epoch, opened where the rows are.
 
@@ -42,6 +107,23 @@ class RowWriter:
     def process(self, row) -> None:
         self.connection.write(row.asDict(recursive=True))
 
+    def all_of(self, epoch_id: int) -> Callable:
+        """A function that writes the rows of one partition over one connection."""
+
+        def write(rows) -> None:
+            self.open(TaskContext.get().partitionId(), epoch_id)
+            error = None
+            try:
+                for row in rows:
+                    self.process(row)
+            except Exception as failed:
+                error = failed
+                raise
+            finally:
+                self.close(error)
+
+        return write
+
     def close(self, error) -> None:
         if self.connection is not None:
             self.connection.close()
