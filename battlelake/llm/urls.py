@@ -2,7 +2,7 @@
 
 1. *Shapes*: each url's path is cut into segments; digits, hex strings and the like become typed wildcards at once.
    Pages are summed by (host, shape), so what follows works on shapes, not on pages.
-2. *Generalise*, level by level from the root: where the children of one prefix are many and mostly rare, the rare
+2. *Generalise*, level by level from the root, as deep as there are many shapes: where the children of one prefix are many and mostly rare, the rare
    ones become one wildcard. Counts of (host, prefix, segment) combine before they are shuffled, so a hot host is
    spread over its segments.
 3. *Merge*: a template whose labelled rate does not differ significantly from its siblings' joins them.
@@ -40,9 +40,6 @@ RULES = (
     Rule("allow", "com", "/fr/"), Rule("block", "com", "/de/"),
 )
 
-#: Segments with a level of their own; what is deeper is one segment.
-LEVELS = 6
-
 #: A prefix's children are generalised if there are more than so many; then those with a smaller share are rare.
 MANY_CHILDREN, RARE_SHARE = 20, 0.02
 
@@ -86,9 +83,7 @@ def shape_of(path: Column) -> Column:
             .otherwise(stem))
         return F.concat(kind, ending)
 
-    segments = F.transform(F.filter(F.split(path, "/"), lambda s: s != ""), typed)
-    deep = F.concat(F.slice(segments, 1, LEVELS - 1), F.array(F.array_join(F.slice(segments, LEVELS, 2**30), "/")))
-    return F.when(F.size(segments) > LEVELS, deep).otherwise(segments)
+    return F.transform(F.filter(F.split(path, "/"), lambda s: s != ""), typed)
 
 
 def shapes(pages: DataFrame, labels: DataFrame) -> DataFrame:
@@ -101,24 +96,38 @@ def shapes(pages: DataFrame, labels: DataFrame) -> DataFrame:
 
 
 def generalised(table: DataFrame) -> DataFrame:
-    """``table`` (host, shape, pages, ...) with ``template``: rare children of wide prefixes are wildcards."""
-    out = table.withColumn("prefix", F.lit("")).withColumn("rest", F.col("shape"))
-    for _ in range(LEVELS):
-        segment = F.coalesce(F.get("rest", F.lit(0)), F.lit("$"))
-        out = out.withColumn("segment", segment)
-        children = out.groupBy("host", "prefix", "segment").agg(F.sum("pages").alias("n"))
+    """``table`` (host, shape, pages, ...) with ``template``: rare children of wide prefixes are wildcards.
+
+    Levels are gone through as long as some prefix has more shapes than a wide one has children. A prefix with no
+    more of them has no wide prefix below it, so its shapes are finished as they are, however deep they go.
+    """
+    live = table.withColumn("prefix", F.lit("")).withColumn("rest", F.col("shape"))
+    columns = ["host", "shape", "pages", "good", "bad"]
+    done = []
+    while True:
+        crowded = live.groupBy("host", "prefix").agg(F.count("*").alias("shapes")).where(F.col("shapes") > MANY_CHILDREN)
+        crowded = crowded.select("host", "prefix", F.lit(True).alias("crowded"))
+        split = session.cut_lineage(live.join(crowded, ["host", "prefix"], "left"))
+        as_it_is = F.concat("prefix", F.array_join(F.transform("rest", lambda s: F.concat(F.lit("/"), s)), ""))
+        done.append(split.where("crowded IS NULL").select(*columns, as_it_is.alias("template")))
+        live = split.where("crowded").drop("crowded").withColumn("segment", F.coalesce(F.get("rest", F.lit(0)), F.lit("$")))
+        if live.isEmpty():
+            break
+        children = live.groupBy("host", "prefix", "segment").agg(F.sum("pages").alias("n"))
         wide = children.groupBy("host", "prefix").agg(F.count("*").alias("children"), F.sum("n").alias("total")).where(
             F.col("children") > MANY_CHILDREN)
         rare = children.join(wide, ["host", "prefix"]).where(F.col("n") < RARE_SHARE * F.col("total")).select(
             "host", "prefix", "segment", F.lit(True).alias("rare"))
-        out = out.join(rare, ["host", "prefix", "segment"], "left")
         step = F.when(F.col("rare"), F.lit("{word}")).otherwise(F.col("segment"))
+        stepped = live.join(rare, ["host", "prefix", "segment"], "left").withColumn("step", step)
         ended = F.size("rest") == 0
-        out = session.cut_lineage(out.select(
-            "host", "shape", "pages", "good", "bad",
-            F.when(ended, F.col("prefix")).otherwise(F.concat("prefix", F.lit("/"), step)).alias("prefix"),
-            F.when(ended, F.col("rest")).otherwise(F.slice("rest", 2, 2**30)).alias("rest")))
-    return out.withColumnRenamed("prefix", "template").drop("rest")
+        done.append(stepped.where(ended).select(*columns, F.col("prefix").alias("template")))
+        live = stepped.where(~ended).select(
+            *columns, F.concat("prefix", F.lit("/"), F.col("step")).alias("prefix"), F.slice("rest", 2, 2**30).alias("rest"))
+    out = done[0]
+    for more in done[1:]:
+        out = out.unionByName(more)
+    return out
 
 
 def judged(table: DataFrame) -> DataFrame:

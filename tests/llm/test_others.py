@@ -110,3 +110,15 @@ def test_pipeline(spark, sf_dir):
         before = docs.count()
         assert docs.columns == columns or name == "bpe"
     assert docs.where("NOT round_trip").count() == 0
+
+
+@pytest.mark.parametrize("above", ["/a/b", "/a/b/c/d/e/f/g/h/i/j"])
+def test_branches_are_told_apart_at_any_depth(spark, above):
+    pages = spark.createDataFrame(
+        [(i, f"http://h.net{above}/{'good' if i % 2 else 'bad'}/x{chr(97 + i % 26)}{chr(97 + i // 26)}", i) for i in range(400)],
+        "page_id long, url string, label_key long")
+    labels = spark.range(400).selectExpr("id AS label_key", "id % 2 = 1 AS good")
+    got = urls.filter_urls(pages, labels).collect()
+    assert len(got) == 400 and all((r["verdict"] == "allow") == (r["page_id"] % 2 == 1) for r in got)
+    deep = spark.createDataFrame([(1, "http://d.net/" + "/".join("s" * (1 + k % 5) for k in range(900)), 1)], pages.schema)
+    assert urls.filter_urls(deep, labels).count() == 1
