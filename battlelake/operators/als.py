@@ -35,6 +35,28 @@ def recommend_patterns(model: ALSModel, patterns: DataFrame, mapping: DataFrame,
     )
 
 
+def residuals(model: ALSModel, matrix: DataFrame) -> DataFrame:
+    """How far each pattern's factors are from solving their normal equations, given the cards' factors.
+
+    Alternating least squares ends with the patterns: their factors u solve sum((v.u - r) v) + reg n u = 0 over the
+    pattern's n ratings r of cards with factors v. ``residual`` is the largest component of that sum relative to the
+    largest of sum(r v), so single precision leaves it near 1e-6 and any other factors far above.
+    """
+    rank = model.rank
+    users = model.userFactors.select(F.col("id").alias("deck_pattern_id"), F.col("features").alias("u"))
+    items = model.itemFactors.select(F.col("id").alias("next_card"), F.col("features").alias("v"))
+    places = range(rank)
+    rated = matrix.select("deck_pattern_id", "next_card", F.col("effectiveness_score").alias("r")).join(items, "next_card").join(users, "deck_pattern_id")
+    predicted = sum((F.col("u")[k].cast("double") * F.col("v")[k] for k in places), F.lit(0.0))
+    sums = rated.withColumn("error", predicted - F.col("r")).groupBy("deck_pattern_id").agg(
+        F.count(F.lit(1)).alias("ratings"), F.first("u").alias("u"),
+        *[F.sum(F.col("error") * F.col("v")[k]).alias(f"e{k}") for k in places],
+        *[F.sum(F.col("r") * F.col("v")[k]).alias(f"b{k}") for k in places])
+    left = F.greatest(*[F.abs(F.col(f"e{k}") + REG_PARAM * F.col("ratings") * F.col("u")[k]) for k in places])
+    size = F.greatest(*[F.abs(F.col(f"b{k}")) for k in places])
+    return sums.select("deck_pattern_id", "ratings", (left / F.greatest(size, F.lit(1e-12))).alias("residual"))
+
+
 def save(model: ALSModel, path: str) -> None:
     model.write().overwrite().save(path)
 

@@ -37,6 +37,11 @@ def canonical_battles(log: DataFrame) -> DataFrame:
     return distinct_battles(by_tag(log))
 
 
+def winners_first(log: DataFrame) -> DataFrame:
+    """Each battle once, the winner first; draws keep the order by tag, in which their two views are one."""
+    return _oriented(canonical_battles(log), F.col("player1.crowns") >= F.col("player2.crowns")).select(*BATTLE_COLUMNS)
+
+
 def season_days(seasons: DataFrame) -> DataFrame:
     """One row per season and day (end exclusive), so that battles find their season by equality."""
     return seasons.select(

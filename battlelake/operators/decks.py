@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from battlelake.functions.decks import bit_text, contains_all, contains_none, file_cards, multi_hot
-from battlelake.sources.dims import MAX_LITERAL_ROWS, literal_map
+from battlelake.sources.dims import map_of
 
 
 def without_mirrors(flat: DataFrame, any_order: bool = False) -> DataFrame:
@@ -95,11 +95,8 @@ def decks_with(decks: DataFrame, include: list[int], exclude: list[int]) -> Data
 
 
 def card_index_map(cards: DataFrame) -> Column:
-    """Card id to place in the dimension, for dimensions small enough for a literal map."""
-    found = literal_map(cards, "id", "card_index")
-    if found is None:
-        raise ValueError(f"card dimension is empty or has more than {MAX_LITERAL_ROWS} rows")
-    return found
+    """Card id to place in the dimension."""
+    return map_of(cards, "id", "card_index")
 
 
 def indexed(deck: Column, index_map: Column, keep_unknown: bool = False) -> Column:

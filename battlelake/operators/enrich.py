@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from battlelake.operators.performance import flatten
-from battlelake.sources.dims import literal_map
+from battlelake.sources.dims import distinct_keys, literal_map
 
 UNKNOWN = "Unknown"
 
@@ -32,7 +32,7 @@ def with_card_names(df: DataFrame, decks: dict[str, str], cards: DataFrame) -> D
             new: F.transform(deck, lambda c: F.coalesce(F.try_element_at(names, c), unknown_card(c)))
             for deck, new in decks.items()
         })
-    dim = cards.select(F.col("id").alias("card"), "name")
+    dim = distinct_keys(cards, "id", "name").select(F.col("id").alias("card"), "name")
     named = df
     for deck, new in decks.items():
         # Names are looked up once per distinct deck, and a deck's few cards are put together again.

@@ -11,6 +11,9 @@ cards, so its score is at least P's; where it is equal, the size is equal and th
 precede P in the order (score descending, id ascending), so P would not be among the best N. Hence P is
 among the first N of the subset S, and reading every subset of the request finds it with its true overlap.
 Other rows found this way are scored at most too low, never too high.
+
+A card set of more than ``MAX_SET_SIZE`` cards has too many subsets. Such a pattern is scored directly against the requests it
+shares a card with; such a request meets the index by its cards and keeps the subsets that lie inside it.
 """
 
 from __future__ import annotations
@@ -21,8 +24,10 @@ from battlelake.functions.decks import pattern_cards, subsets
 
 # Fixed value: patterns pooled per request.
 TOP_PATTERNS = 5
-# Patterns and valid requests have at most 7 cards; a wider set is an error rather than an explosion.
+# Patterns and valid requests have at most 7 cards. Wider sets than this are not keyed by all their subsets.
 MAX_SET_SIZE = 12
+# More cards than any set has; overlaps are counted down from it.
+_MOST_CARDS = 2**20
 
 
 def _known_sets(mapping: DataFrame, per_set: int) -> DataFrame:
@@ -41,30 +46,54 @@ def _by_subset(sets: DataFrame, cards: str) -> DataFrame:
     return sets.select(*rest, F.explode(subsets(F.col(cards))).alias("shared"))
 
 
-def _check_width(cards: str):
-    too_wide = F.size(cards) > MAX_SET_SIZE
-    return F.when(too_wide, F.raise_error(F.lit(f"more than {MAX_SET_SIZE} cards"))).otherwise(F.col(cards))
+def _narrow(sets: DataFrame, cards: str) -> DataFrame:
+    return sets.where(F.size(cards) <= MAX_SET_SIZE)
+
+
+def _wide(sets: DataFrame, cards: str) -> DataFrame | None:
+    """The sets too wide for subsets, or None; then the plan has no part for them."""
+    found = sets.where(F.size(cards) > MAX_SET_SIZE)
+    return None if found.isEmpty() else found
 
 
-def subset_index(mapping: DataFrame, top_n: int = TOP_PATTERNS, wanted: DataFrame | None = None) -> DataFrame:
+def subset_index(mapping: DataFrame, top_n: int = TOP_PATTERNS) -> DataFrame:
     """Per card subset the ``top_n`` patterns that can win: ``shared, deck_pattern_id, known_size``.
 
-    It depends on the mapping alone and can be stored with it. With ``wanted`` (column ``shared``) only the
-    subsets some request has are built.
+    It depends on the mapping alone and can be stored with it.
     """
-    known = _known_sets(mapping, top_n).withColumn("known", _check_width("known"))
-    rows = _by_subset(known, "known")
-    if wanted is not None:
-        rows = rows.join(wanted.select("shared").distinct(), "shared", "left_semi")
+    rows = _by_subset(_narrow(_known_sets(mapping, top_n), "known"), "known")
     place = F.row_number().over(
         Window.partitionBy("shared").orderBy("known_size", "deck_pattern_id")
     )
-    # The limit is applied in every task before the shuffle, so a subset of popular cards stays small.
+    # The limit is applied in every task before the shuffle, so a subset of popular cards is a few rows a task.
     return rows.withColumn("place", place).where(F.col("place") <= top_n).select(
         "shared", "deck_pattern_id", "known_size"
     )
 
 
+def _overlaps(request_sets: DataFrame, known: DataFrame, index: DataFrame) -> DataFrame:
+    """(cards, overlap, the index's other columns): what each request shares with the patterns that can win.
+
+    ``known`` has the patterns' card sets in ``known``; ``index`` their subsets in ``shared``.
+    """
+    kept = [c for c in index.columns if c != "shared"]
+    columns = ["cards", *kept, "overlap"]
+    found = _by_subset(_narrow(request_sets, "cards").select("cards", F.col("cards").alias("subset_of")), "subset_of").join(
+        index, "shared").withColumn("overlap", F.size("shared")).select(*columns)
+    if (asking := _wide(request_sets, "cards")) is not None:
+        first = asking.select("cards", F.explode("cards").alias("first"))
+        inside = F.forall("shared", lambda c: F.array_contains("cards", c))
+        found = found.unionByName(
+            first.join(index.withColumn("first", F.get("shared", F.lit(0))), "first").where(inside)
+            .withColumn("overlap", F.size("shared")).select(*columns))
+    if (patterns := _wide(known, "known")) is not None:
+        by_card = patterns.select(*kept, F.explode("known").alias("card"))
+        found = found.unionByName(
+            request_sets.select("cards", F.explode("cards").alias("card")).join(by_card, "card")
+            .groupBy("cards", *kept).agg(F.count(F.lit(1)).cast("int").alias("overlap")).select(*columns))
+    return found
+
+
 def similar_patterns(
     request_sets: DataFrame, mapping: DataFrame, top_n: int = TOP_PATTERNS, index: DataFrame | None = None,
 ) -> DataFrame:
@@ -74,13 +103,8 @@ def similar_patterns(
     overlapping ones, the lowest ids with score 0 follow. ``index``: a stored ``subset_index``, else one is
     built for the requests at hand.
     """
-    requested = request_sets.select("cards", _check_width("cards").alias("subset_of"))
-    wanted = _by_subset(requested, "subset_of")
-    if index is None:
-        index = subset_index(mapping, top_n, wanted)
-    overlapping = wanted.join(index, "shared").select(
-        "cards", "deck_pattern_id", "known_size", F.size("shared").alias("overlap")
-    )
+    index = subset_index(mapping, top_n) if index is None else index
+    overlapping = _overlaps(request_sets, _known_sets(mapping, top_n), index)
     lowest = (
         mapping.orderBy("deck_pattern_id").limit(top_n)
         .select(F.struct(
@@ -105,26 +129,20 @@ def similar_patterns(
 
 def best_overlaps(request_sets: DataFrame, mapping: DataFrame) -> DataFrame:
     """The pattern sharing most cards with each request set, ties by lower id; none without overlap."""
-    requested = request_sets.select("cards", _check_width("cards").alias("subset_of"))
-    wanted = _by_subset(requested, "subset_of")
     known = mapping.select(
         "deck_pattern_id", pattern_cards(F.col("deck_pattern")).alias("known")
     ).groupBy("known").agg(F.min("deck_pattern_id").alias("deck_pattern_id"))
-    index = (
-        _by_subset(known.withColumn("known", _check_width("known")), "known")
-        .join(wanted.select("shared").distinct(), "shared", "left_semi")
-        .groupBy("shared")
-        .agg(F.min("deck_pattern_id").alias("deck_pattern_id"))
-    )
+    # The least id of each subset is found in every task before the shuffle.
+    index = _by_subset(_narrow(known, "known"), "known").groupBy("shared").agg(F.min("deck_pattern_id").alias("deck_pattern_id"))
     # One number orders by overlap (more first), then id: a fixed-width key keeps the aggregation hashed.
-    rank = F.shiftleft((MAX_SET_SIZE - F.size("shared")).cast("bigint"), 32) + F.col("deck_pattern_id")
+    rank = F.shiftleft((F.lit(_MOST_CARDS) - F.col("overlap")).cast("bigint"), 32) + F.col("deck_pattern_id")
     return (
-        wanted.join(index, "shared")
+        _overlaps(request_sets, known, index)
         .groupBy("cards")
         .agg(F.min(rank).alias("rank"))
         .select(
             "cards",
             F.col("rank").bitwiseAND(F.lit(2**32 - 1)).cast("int").alias("deck_pattern_id"),
-            (F.lit(MAX_SET_SIZE) - F.shiftright("rank", 32)).cast("int").alias("overlap"),
+            (F.lit(_MOST_CARDS) - F.shiftright("rank", 32)).cast("int").alias("overlap"),
         )
     )

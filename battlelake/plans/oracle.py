@@ -502,6 +502,17 @@ def statements() -> dict[str, str]:
             " row_number() OVER (PARTITION BY tag ORDER BY battle_time, side, trophies) AS place FROM ("
             "SELECT battle_time, player1_tag AS tag, 'player1' AS side, player1_trophies AS trophies FROM game_points"
             " UNION ALL SELECT battle_time, player2_tag, 'player2', player2_trophies FROM game_points)", "game_points"),
+        "player_totals": _sql(
+            "SELECT tag, count(*) AS battles, count(*) FILTER (WHERE outcome = 'win') AS wins, any_value(best_trophies) AS best_trophies"
+            " FROM results JOIN (SELECT tag AS of_tag, max(trophies) AS best_trophies FROM results GROUP BY tag) ON tag = of_tag GROUP BY tag",
+            "results"),
+        "winner_first_canonical": _sql(f"""
+            SELECT * REPLACE ({_DECKS}) FROM (
+              SELECT battle_time, game_mode, {_STRAIGHT} FROM canonical WHERE p1_crowns >= p2_crowns
+              UNION ALL SELECT battle_time, game_mode, {_SWAPPED} FROM canonical WHERE p1_crowns < p2_crowns)""", "canonical"),
+        "als_residuals": _sql(
+            "SELECT deck_pattern_id, count(*) AS ratings, true AS solved FROM mapping JOIN matrix USING (deck_pattern) GROUP BY deck_pattern_id",
+            "mapping", "matrix"),
         "field_series_join": _sql(
             "SELECT battle_time, player1_tag, player2_tag, player2_trophies AS trophies, player2_crowns AS crowns"
             " FROM game_points WHERE battle_time >= '20240105' AND battle_time < '20240120'", "game_points"),

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
@@ -14,7 +15,7 @@ from battlelake.operators import (
 from battlelake.plans import training
 from battlelake.sources import dims, fixtures, logs
 from battlelake.streaming import registry
-from battlelake.session import cut_lineage, work_path
+from battlelake.session import cut_lineage, shuffle_width, work_path
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -505,6 +506,32 @@ def csv_table(spark, sf_dir):
     return _deck_text(logs.csv_to_parquet(spark, csv_path, table_path), "p1_deck", "p2_deck")
 
 
+def _player_tables(spark, sf_dir):
+    """Results and trophy points of every player as two catalog tables in the same buckets."""
+    battles, log = _battles(spark, sf_dir), _log(spark, sf_dir)
+    series = points.player_trophy_series(points.game_points(performance.flatten(log)))
+    mark, width = uuid.uuid4().hex, shuffle_width(spark)
+    return [
+        logs.save_by_player(rows, f"{name}_{mark}", work_path(spark, name), width)
+        for name, rows in (("player_results", performance.player_results(battles)), ("player_points", series))
+    ]
+
+
+@query
+def player_totals(spark, sf_dir):
+    """Wins and highest trophies of each player from two bucketed catalog tables, joined where they lie."""
+    results, series = _player_tables(spark, sf_dir)
+    won = results.groupBy("tag").agg(F.count(F.lit(1)).alias("battles"), F.count_if(F.col("outcome") == "win").alias("wins"))
+    best = series.groupBy("tag").agg(F.max("trophies").alias("best_trophies"))
+    return won.join(best.hint("merge"), "tag")
+
+
+@query
+def winner_first_canonical(spark, sf_dir):
+    """Every battle once with its winner first; a draw is one battle too."""
+    return _flat_text(canonical.winners_first(_log(spark, sf_dir)))
+
+
 @query
 def odd_numbers(spark, sf_dir):
     """Values as text where JSON cannot carry them: the ratio of value and crowns, with its infinities."""
@@ -515,6 +542,14 @@ def odd_numbers(spark, sf_dir):
 
 # --- ML and registry (A13, A17, K7-K11, S13, T6, T10, M3-M5, X6) --------------------------------------
 
+@query
+def als_residuals(spark, sf_dir):
+    """Whether every pattern's factors solve their normal equations."""
+    matrix = cut_lineage(training.start(_battles(spark, sf_dir)).matrix())
+    found = als.residuals(als.fit(matrix), matrix)
+    return found.select("deck_pattern_id", "ratings", (F.col("residual") < 1e-3).alias("solved"))
+
+
 @query
 def als_recommendations(spark, sf_dir):
     state = training.start(_battles(spark, sf_dir))

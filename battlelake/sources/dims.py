@@ -58,12 +58,34 @@ def _struct_fields(ddl: str) -> str:
     )
 
 
+def distinct_keys(dim: DataFrame, key: str, value: str) -> DataFrame:
+    """(key, value), one row per key: of a key's several values the least stays, whichever way it is looked up."""
+    return dim.where(F.col(key).isNotNull()).groupBy(key).agg(F.min(value).alias(value))
+
+
 def literal_map(dim: DataFrame, key: str, value: str) -> Column | None:
     """The dimension as a map column, or None when it has more than MAX_LITERAL_ROWS rows.
 
     At most MAX_LITERAL_ROWS + 1 rows ever reach the driver; callers join beyond that size.
     """
-    rows = dim.select(key, value).where(F.col(key).isNotNull()).take(MAX_LITERAL_ROWS + 1)
-    if not rows or len(rows) > MAX_LITERAL_ROWS:
+    rows = distinct_keys(dim, key, value).take(MAX_LITERAL_ROWS + 1)
+    if len(rows) > MAX_LITERAL_ROWS:
         return None
+    if not rows:
+        kinds = dict(dim.dtypes)
+        return F.create_map().cast(f"map<{kinds[key]},{kinds[value]}>")
     return F.create_map(*[F.lit(cell) for row in rows for cell in row])
+
+
+def map_of(dim: DataFrame, key: str, value: str) -> Column:
+    """The dimension as a constant map column at any size; a large one is one JSON text that is folded into a constant.
+
+    It is for dimensions whose places go into every row (flags per card), which no row could hold if they were many.
+    """
+    found = literal_map(dim, key, value)
+    if found is not None:
+        return found
+    kinds = dict(dim.dtypes)
+    entries = distinct_keys(dim, key, value).select(F.to_json(F.struct(F.col(key).alias("k"), F.col(value).alias("v"))).alias("e"))
+    text = "[" + ",".join(r["e"] for r in entries.collect()) + "]"
+    return F.map_from_entries(F.from_json(F.lit(text), f"array<struct<k:{kinds[key]},v:{kinds[value]}>>"))
