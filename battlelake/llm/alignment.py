@@ -83,13 +83,18 @@ class Aligner:
         self.signs_a = [f"{i}{s}".encode() for i in range(len(self.a.bytes_of)) for s in ",|"]
         self.signs_b = [f"{i}{s}".encode() for i in range(len(self.raw_b)) for s in ",;"]
 
+    def _given_back(self, text: str, ids: np.ndarray) -> bool:
+        """Whether the bytes of B's tokens are the text behind a blank."""
+        if self.b.gives_back:
+            return pieces.MARK not in text
+        return b"".join(map(self.raw_b.__getitem__, ids.tolist())) == (" " + text).encode()
+
     def align(self, texts: list[str]) -> tuple[np.ndarray, list[str], np.ndarray, np.ndarray, np.ndarray]:
         """Of texts: a table (n_a, n_b, n_groups, n_links), digests, and text, A id and B id of all links."""
         table, digests = np.zeros((len(texts), 4), np.int64), [""] * len(texts)
         found = self.b.encode(texts)
         spaced = [" " + t for t in texts]
-        used = [i for i, (t, f) in enumerate(zip(spaced, found, strict=True))
-                if texts[i] and b"".join(map(self.raw_b.__getitem__, f[0].tolist())) == t.encode()]
+        used = [i for i, t in enumerate(texts) if t and self._given_back(t, found[i][0])]
         none = np.zeros(0, np.int64)
         if not used:
             return table, digests, none, none, none
@@ -103,7 +108,7 @@ class Aligner:
         both_a, both_b = (mine == other[np.searchsorted(other, mine)] for mine, other in ((a_ends, b_ends), (b_ends, a_ends)))
         group = np.concatenate((np.cumsum(both_a) - both_a, np.cumsum(both_b) - both_b))
         # A link is a stretch between two ends of either kind: the pair of tokens that cover it.
-        stretch = np.unique(np.concatenate((a_ends, b_ends)))
+        stretch = np.sort(np.concatenate((a_ends, b_ends[~both_b])), kind="stable")
         at_a, at_b = np.searchsorted(a_ends, stretch), np.searchsorted(b_ends, stretch)
         link_text = a_text[at_a]
         every = np.array(used)

@@ -226,8 +226,10 @@ class Encoder:
         self.apart = np.ones((len(inner) + 1, len(inner) + 1), bool)
         for a, b in pairs:
             self.apart[self.numbers[ord(a)], self.numbers[ord(b)]] = False
-        #: Packed ids of each unit met, and the characters that each id stands for.
-        self.units: dict[str, tuple[bytes, bytes]] = {}
+        #: Of each unit met: pairs of an id and the number of characters that it stands for, packed.
+        self.units: dict[str, bytes] = {}
+        #: Whether pieces give a text back behind a blank as long as it holds no mark of its own.
+        self.gives_back = self.normalise.map is None and model.dummy_prefix and model.escaped and not model.fewer_blanks
         blank = MARK if model.escaped else None
         self.raw = [
             bytes([self.bytes_at.index(i)]) if kind == BYTE else b"" if kind == CONTROL else model.unknown_text.encode() if kind == UNKNOWN
@@ -243,7 +245,7 @@ class Encoder:
         there = self.keys[at] == wanted
         return np.where(there, self.ranks[at], NONE), self.results[at]
 
-    def merged(self, units: list[str]) -> list[tuple[bytes, bytes]]:
+    def merged(self, units: list[str]) -> list[bytes]:
         """Packed ids and widths of short units, all merged side by side: one pair of each in a round."""
         lengths = np.array([len(u) for u in units], np.int64)
         codes = np.frombuffer("".join(units).encode("utf-32-le"), np.uint32)
@@ -278,9 +280,9 @@ class Encoder:
         token, width = token[order], width[order]
         firsts = np.append(0, np.cumsum(np.bincount(unit, minlength=len(units))))
         unknown = np.flatnonzero((token == 0) | (token > len(self.model.pieces)))
-        ids, sizes = (token - 1).astype("<u4").tobytes(), width.astype("<u4").tobytes()
-        bounds = (4 * firsts).tolist()
-        packed = [(ids[a:b], sizes[a:b]) for a, b in zip(bounds, bounds[1:], strict=False)]
+        pairs = np.stack((token - 1, width), axis=1).astype("<u4").tobytes()
+        bounds = (8 * firsts).tolist()
+        packed = [pairs[a:b] for a, b in zip(bounds, bounds[1:], strict=False)]
         if len(unknown):
             places = np.cumsum(width) - width
             for k in np.unique(np.searchsorted(firsts, unknown, "right") - 1).tolist():
@@ -288,7 +290,7 @@ class Encoder:
                 packed[k] = self._packed(units[k], token[own].tolist(), (places[own] - places[firsts[k]]).tolist(), width[own].tolist())
         return packed
 
-    def _packed(self, unit: str, tokens: list[int], places: list[int], widths: list[int]) -> tuple[bytes, bytes]:
+    def _packed(self, unit: str, tokens: list[int], places: list[int], widths: list[int]) -> bytes:
         """Ids and widths where some characters are no pieces: such a one gives an id for each of its bytes."""
         ids: list[int] = []
         sizes: list[int] = []
@@ -300,9 +302,9 @@ class Encoder:
                 raw = unit[at].encode()
                 ids += [self.bytes_at[b] for b in raw]
                 sizes += [0] * (len(raw) - 1) + [1]
-        return np.array(ids, "<u4").tobytes(), np.array(sizes, "<u4").tobytes()
+        return np.array((ids, sizes), "<u4").T.tobytes()
 
-    def merged_long(self, unit: str) -> tuple[bytes, bytes]:
+    def merged_long(self, unit: str) -> bytes:
         """The same for a long unit, with its pairs in a heap."""
         n, merges, base = len(unit), self.merges, self.base
         token = self.char_symbol[np.frombuffer(unit.encode("utf-32-le"), np.uint32)].tolist()
@@ -350,11 +352,11 @@ class Encoder:
         self._learn(set().union(*(units for units, _ in cut)))
         out = []
         for units, origin in cut:
-            ids, sizes = zip(*map(self.units.__getitem__, units), strict=True) if units else ((), ())
-            width = np.frombuffer(b"".join(sizes), "<u4").astype(np.int64)
+            ids, width = np.frombuffer(b"".join(map(self.units.__getitem__, units)), "<u4").reshape(-1, 2).T
+            width = width.astype(np.int64)
             ends = np.cumsum(width)
             begins = origin[ends - width]
-            out.append((np.frombuffer(b"".join(ids), "<u4"), begins, np.where(width > 0, origin[ends], begins)))
+            out.append((ids, begins, np.where(width > 0, origin[ends], begins)))
         for units, _ in cut:
             for unit in units:
                 if len(unit) > LONG_UNIT:
