@@ -6,6 +6,7 @@ looked at whole. A null text is an empty text.
 
 from __future__ import annotations
 
+import ctypes
 import hashlib
 import tempfile
 import zipfile
@@ -141,6 +142,19 @@ def ship(spark: SparkSession) -> None:
 
 def map_arrow(df: DataFrame, function: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]],
               schema: StructType | str) -> DataFrame:
-    """``mapInArrow`` with this package at hand in the tasks."""
+    """``mapInArrow`` with this package at hand in the tasks, which give back the memory that they no longer use."""
     ship(df.sparkSession)
-    return df.mapInArrow(function, schema)
+
+    def tidy(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        yield from function(batches)
+        give_back()
+
+    return df.mapInArrow(tidy, schema)
+
+
+def give_back() -> None:
+    """Return freed memory to the system: workers live on, and the next stage's share a machine with them."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim is not None:
+        trim(0)
