@@ -124,12 +124,22 @@ def window_hashes(word_hashes: np.ndarray, width: int) -> np.ndarray:
     return mixed(out)
 
 
+#: Rows that Spark hands to a task in one Arrow batch, unless the session says otherwise: both processes hold a batch of texts
+#: at once, and the operators cut it into slices anyway.
+BATCH_ROWS, DEFAULT_BATCH_ROWS = 1000, 10_000
+
 _shipped: dict[str, str] = {}
 
 
 def ship(spark: SparkSession) -> None:
-    """Send this package to the executors, once per application; a cluster that has it installed loses nothing."""
+    """Send this package to the executors, once per application; a cluster that has it installed loses nothing.
+
+    A session whose Arrow batches have Spark's own size gets smaller ones.
+    """
     context = spark.sparkContext
+    rows = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if int(spark.conf.get(rows)) == DEFAULT_BATCH_ROWS:
+        spark.conf.set(rows, BATCH_ROWS)
     if context.applicationId not in _shipped:
         package = Path(__file__).resolve().parents[1]
         archive = Path(tempfile.mkdtemp()) / f"{package.name}.zip"

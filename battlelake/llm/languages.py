@@ -32,8 +32,8 @@ from battlelake.llm import bytesets
 #: Labelled rows of each language that are learnt from, at most, and languages learnt at most (the most frequent).
 SAMPLE, MAX_LANGUAGES = 400, 200
 
-#: Features.
-BUCKETS = 4096
+#: Features, and texts whose features a task holds at a time (4 MB, in a few copies).
+BUCKETS, SLICE_ROWS = 4096, 256
 
 UNDETERMINED = "und"
 
@@ -247,7 +247,7 @@ def predicted(docs: DataFrame, model: Model, text: str = "text", reject: bool =
         own = known.value
         for batch in batches:
             named = pa.RecordBatch.from_arrays(batch.columns, names=[str(i) for i in range(batch.num_columns)])
-            for part in (p.slice(i, 1024) for p in bytesets.slices(named, str(at)) for i in range(0, p.num_rows, 1024)):
+            for part in (p.slice(i, SLICE_ROWS) for p in bytesets.slices(named, str(at)) for i in range(0, p.num_rows, SLICE_ROWS)):
                 data, offsets = bytesets.texts_of(part.column(at))
                 rows = feature_rows(data, offsets)
                 langs, scores = own.predict(rows)
