@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from battlelake.functions.decks import bit_text, contains_all, contains_none, file_cards, multi_hot
+from battlelake.schemas import DECK_SIZE
 from battlelake.sources.dims import map_of
 
 
@@ -62,6 +63,12 @@ def write_deck_file(stats: DataFrame, path: str, mode: str = "errorifexists") ->
     flat_deck_columns(stats.orderBy("deck_a", "deck_b")).write.mode(mode).csv(path)
 
 
+def read_deck_file(spark: SparkSession, path: str) -> DataFrame:
+    """The pair table from its CSV: the decks' cards in columns, wins and losses."""
+    cards = [f"{side}{i} int" for side in ("a", "b") for i in range(1, DECK_SIZE + 1)]
+    return spark.read.schema(", ".join([*cards, "wins bigint", "losses bigint"])).csv(path)
+
+
 def resolve_keys(cards: DataFrame, keys: list[str]) -> list[int]:
     """Card ids of the given keys, the first in the dimension's order where a key repeats."""
     if not keys:

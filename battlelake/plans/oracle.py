@@ -546,6 +546,16 @@ def statements() -> dict[str, str]:
             " CAST(p2_trophies AS SMALLINT) AS p2_trophies, CAST(p1_crowns AS TINYINT) AS p1_crowns,"
             " CAST(p2_crowns AS TINYINT) AS p2_crowns),"
             " CAST(strptime(substr(battle_time, 1, 8), '%Y%m%d') AS DATE) AS battle_date FROM canonical", "canonical"),
+        "csv_table_appended": _sql(
+            f"SELECT * REPLACE ({_DECKS}, CAST(p1_trophies AS SMALLINT) AS p1_trophies,"
+            " CAST(p2_trophies AS SMALLINT) AS p2_trophies, CAST(p1_crowns AS TINYINT) AS p1_crowns,"
+            " CAST(p2_crowns AS TINYINT) AS p2_crowns),"
+            " CAST(strptime(substr(battle_time, 1, 8), '%Y%m%d') AS DATE) AS battle_date FROM canonical", "canonical"),
+        "deck_pair_file": _sql(
+            "SELECT " + ", ".join(f"deck_{d}[{i}] AS {d}{i}" for d in "ab" for i in range(1, 9)) + ", wins, losses FROM pairs", "pairs"),
+        "search_documents_from_files": _sql(
+            _documents(f"array_to_string({_names('p1_deck')}, '|')", f"array_to_string({_names('p2_deck')}, '|')"),
+            "battles", "mode_dim"),
         "odd_numbers": "SELECT event_id, CASE WHEN event_id % 4 = 0 THEN 'Infinity' END AS as_text FROM events",
         "model_registry_latest": _sql(
             f"SELECT 'continuous_als_model' AS model_name, {stamp} AS timestamp, total_patterns, total_training_samples"
@@ -590,6 +600,10 @@ def statements() -> dict[str, str]:
             "SELECT k AS batch_id, count(*) + k AS rows, k AS quarantined FROM (SELECT CASE WHEN battle_time < '20240108' THEN 0"
             " WHEN battle_time < '20240122' THEN 1 ELSE 2 END::BIGINT AS k FROM battles) GROUP BY k", "battles"),
         "stream_matrix": _sql(f"SELECT {matrix_columns} FROM matrix", "matrix"),
+        "state_restarted": _sql(f"SELECT {matrix_columns} FROM matrix", "matrix"),
+        "state_model_reloaded": _sql(
+            "SELECT deck_pattern_id, count(*) AS ratings, true AS solved FROM mapping JOIN matrix USING (deck_pattern) GROUP BY deck_pattern_id",
+            "mapping", "matrix"),
         "stream_dedup": _sql(f"SELECT * REPLACE ({_DECKS}) FROM canonical", "canonical"),
         "stream_card_usage_window": _sql(
             "SELECT CAST(strptime(substr(battle_time, 1, 8), '%Y%m%d') AS DATE) AS battle_date, card, count(*) AS battles,"

@@ -15,7 +15,7 @@ from battlelake.operators import (
 from battlelake.plans import training
 from battlelake.sources import dims, fixtures, logs
 from battlelake.streaming import registry
-from battlelake.session import cut_lineage, shuffle_width, work_path
+from battlelake.session import cut_lineage, put_text, shuffle_width, work_path
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -506,6 +506,39 @@ def csv_table(spark, sf_dir):
     return _deck_text(logs.csv_to_parquet(spark, csv_path, table_path), "p1_deck", "p2_deck")
 
 
+@query
+def csv_table_appended(spark, sf_dir):
+    """The table of ``csv_table`` from files that grew batch by batch, one batch sent twice, converted again by force."""
+    csv_path, table_path = work_path(spark, "battles-csv"), work_path(spark, "battles-table")
+    first, second, third = [
+        logs.flat_to_csv(performance.flatten(battles)) for battles in _batches(canonical.by_tag(_log(spark, sf_dir)))]
+    logs.write_sorted_csv(first, csv_path)
+    logs.csv_to_parquet(spark, csv_path, table_path)
+    for batch in (second, third, second):
+        logs.append_sorted_csv(batch, csv_path)
+    return _deck_text(logs.csv_to_parquet(spark, csv_path, table_path, force=True), "p1_deck", "p2_deck")
+
+
+@query
+def deck_pair_file(spark, sf_dir):
+    """The pair table written to CSV in deck order and read back."""
+    path = work_path(spark, "deck-pairs")
+    decks.write_deck_file(decks.deck_pair_stats(_flat(spark, sf_dir)), path)
+    return decks.read_deck_file(spark, path)
+
+
+@query
+def search_documents_from_files(spark, sf_dir):
+    """The named documents with cards and game modes read from their JSON files."""
+    cards, modes = f"{work_path(spark, 'cards')}.json", f"{work_path(spark, 'modes')}.json"
+    for path, dim in ((cards, fixtures.card_dim(spark).orderBy("card_index")), (modes, dims.game_mode_dim(spark))):
+        put_text(spark, path, "[" + ",".join(dim.toJSON().collect()) + "]")
+    documents = enrich.search_documents(_battles(spark, sf_dir), dims.read_cards(spark, cards), dims.read_game_modes(spark, modes))
+    return documents.withColumns({
+        c: F.array_join(c, "|") for c in ("player1_deck_names", "player2_deck_names")
+    })
+
+
 def _player_tables(spark, sf_dir):
     """Results and trophy points of every player as two catalog tables in the same buckets."""
     battles, log = _battles(spark, sf_dir), _log(spark, sf_dir)

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from battlelake.operators import points
+from battlelake.operators import als, points
 from battlelake.operators.matrix import scored
 from battlelake.plans import queries as batch
 from battlelake.plans.queries import query
@@ -154,6 +154,27 @@ def stream_matrix(spark, sf_dir):
     return batch._rounded_matrix(scored(state.load().moments))
 
 
+@query
+def state_restarted(spark, sf_dir):
+    """The matrix after an empty first batch, three batches each by a new process, an empty and a repeated one."""
+    path, battles = work_path(spark, "state"), batch._battles(spark, sf_dir)
+    first, second, third = batch._batches(battles)
+    nothing = battles.where(F.lit(False))
+    for number, rows in ((0, nothing), (1, first), (2, second), (3, nothing), (2, second), (4, third)):
+        StateTables(spark, path).apply(rows, number)
+    return batch._rounded_matrix(scored(StateTables(spark, path).load().moments))
+
+
+@query
+def state_model_reloaded(spark, sf_dir):
+    """Whether the factors of the model that the state saved, read back, solve every pattern's normal equations."""
+    path = work_path(spark, "state")
+    StateTables(spark, path).apply(batch._battles(spark, sf_dir), 0, with_model=True)
+    saved = StateTables(spark, path)
+    model, matrix = als.load(saved.rows().first()["model_path"]), cut_lineage(saved.load().matrix())
+    return als.residuals(model, matrix).select("deck_pattern_id", "ratings", (F.col("residual") < 1e-3).alias("solved"))
+
+
 @query
 def stream_dedup(spark, sf_dir):
     out, checkpoint = work_path(spark, "deduplicated"), work_path(spark, "checkpoint")

@@ -9,7 +9,7 @@ from pyspark.sql.types import StringType, StructField, StructType
 
 from battlelake import schemas
 from battlelake.functions.decks import file_cards
-from battlelake.functions.values import battle_date
+from battlelake.functions.values import battle_date, narrow
 
 
 def decode(records: DataFrame, schema: StructType | str = schemas.BATTLE, value: str = "value") -> DataFrame:
@@ -157,6 +157,16 @@ def write_sorted_csv(rows: DataFrame, path: str, mode: str = "errorifexists") ->
     )
 
 
+def append_sorted_csv(rows: DataFrame, path: str) -> None:
+    """Adds the rows that the CSV files at ``path`` don't hold yet, so that a batch sent twice adds nothing.
+
+    Values count as the file has them: those that don't fit their column are null on both sides.
+    """
+    kinds = [field.split() for field in schemas.BATTLE_CSV.split(", ")]
+    fitted = rows.select(*[narrow(F.col(name), kind).alias(name) for name, kind in kinds])
+    write_sorted_csv(fitted.subtract(read_battle_csv(rows.sparkSession, path)), path, mode="append")
+
+
 def csv_to_parquet(spark: SparkSession, csv_path: str, parquet_path: str, force: bool = False) -> DataFrame:
     """All CSV files of a folder to parquet partitioned by day; refuses to overwrite unless forced."""
     flat = csv_to_flat(read_battle_csv(spark, csv_path))
