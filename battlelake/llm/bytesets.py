@@ -124,9 +124,9 @@ def window_hashes(word_hashes: np.ndarray, width: int) -> np.ndarray:
     return mixed(out)
 
 
-#: Rows that Spark hands to a task in one Arrow batch, unless the session says otherwise: both processes hold a batch of texts
-#: at once, and the operators cut it into slices anyway.
-BATCH_ROWS, DEFAULT_BATCH_ROWS = 1000, 10_000
+#: Bytes that Spark hands to a task in one Arrow batch, unless the session says otherwise: both processes hold a batch of texts
+#: at once, and the operators cut it into slices anyway. Short rows still come 10,000 at a time.
+BATCH_BYTES, DEFAULT_BATCH_BYTES = 2 << 20, "67108864b"
 
 _shipped: dict[str, str] = {}
 
@@ -137,9 +137,9 @@ def ship(spark: SparkSession) -> None:
     A session whose Arrow batches have Spark's own size gets smaller ones.
     """
     context = spark.sparkContext
-    rows = "spark.sql.execution.arrow.maxRecordsPerBatch"
-    if int(spark.conf.get(rows)) == DEFAULT_BATCH_ROWS:
-        spark.conf.set(rows, BATCH_ROWS)
+    size = "spark.sql.execution.arrow.maxBytesPerBatch"
+    if spark.conf.get(size, None) == DEFAULT_BATCH_BYTES:
+        spark.conf.set(size, BATCH_BYTES)
     if context.applicationId not in _shipped:
         package = Path(__file__).resolve().parents[1]
         archive = Path(tempfile.mkdtemp()) / f"{package.name}.zip"
