@@ -2,8 +2,10 @@
 
 Features are hashed runs of two and three bytes of the lower-cased whole text, square roots of their counts, scaled to
 length one. Each family has a linear SVM against the rest; each pair of languages of one family has one of its own.
-Training takes at most ``SAMPLE`` labelled rows of each language, chosen by a hash, so the sample's size has a bound
-that does not grow with the table; prediction is one narrow pass.
+Training takes at most ``SAMPLE`` distinct labelled texts of each language, those with the least hashes, and at most
+``MAX_SAMPLES`` in all, so the sample has a bound that does not grow with the table. A count of distinct texts gives
+the hash below which each language's sample lies, so only about twice the sample leaves the scan. Prediction is one
+narrow pass.
 
 Defined cases: a null text or one without a letter is ``und`` with score 0; without labelled rows everything is
 ``und``; a null doc_id counts as the empty text for the split (held out); a language outside the table of families is
@@ -29,8 +31,9 @@ from pyspark.sql import functions as F
 
 from battlelake.llm import bytesets
 
-#: Labelled rows of each language that are learnt from, at most, and languages learnt at most (the most frequent).
-SAMPLE, MAX_LANGUAGES = 400, 200
+#: Labelled texts of each language that are learnt from, at most, languages learnt at most (the most frequent), and texts in all
+#: (16 KB each on the driver).
+SAMPLE, MAX_LANGUAGES, MAX_SAMPLES = 400, 200, 16_000
 
 #: Features, and texts whose features a task holds at a time (4 MB, in a few copies).
 BUCKETS, SLICE_ROWS = 4096, 256
@@ -210,11 +213,17 @@ class Model:
 
 def train(docs: DataFrame, sample: int = SAMPLE) -> Model:
     """Learn from rows (text, lang) with both present; the caller chooses which rows may be learnt from."""
-    usable = docs.where(F.col("lang").isNotNull() & F.col("text").rlike(r"\p{L}")).select("lang", "text")
-    frequent = usable.groupBy("lang").count().orderBy(F.col("count").desc(), "lang").limit(MAX_LANGUAGES).select("lang")
-    by_hash = Window.partitionBy("lang").orderBy(F.xxhash64("text"), "text")
-    keyed = usable.join(F.broadcast(frequent), "lang")
-    chosen = keyed.withColumn("n", F.row_number().over(by_hash)).where(F.col("n") <= sample).select("lang", "text")
+    usable = docs.where(F.col("lang").isNotNull() & F.col("text").rlike(r"\p{L}")).select("lang", "text", F.xxhash64("text").alias("code"))
+    frequent = usable.groupBy("lang").agg(F.count("*").alias("n"), F.approx_count_distinct("code").alias("texts")).orderBy(
+        F.col("n").desc(), "lang").limit(MAX_LANGUAGES).collect()
+    each = min(sample, MAX_SAMPLES // max(1, len(frequent)))
+    # Hashes are uniform: the least 1 / k of them belong to about texts / k texts, and twice the sample leaves room for chance.
+    limits = docs.sparkSession.createDataFrame(
+        [(r["lang"], min(2**63 - 1, int(2**64 * (2 * each + 100) / max(1, r["texts"])) - 2**63)) for r in frequent], "lang string, most long")
+    below = usable.join(F.broadcast(limits), "lang").where(F.col("code") <= F.col("most"))
+    by_hash = Window.partitionBy("lang").orderBy("code")
+    once = below.groupBy("lang", "code").agg(F.first("text").alias("text"))
+    chosen = once.withColumn("place", F.row_number().over(by_hash)).where(F.col("place") <= each).select("lang", "text")
 
     def features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -223,9 +232,9 @@ def train(docs: DataFrame, sample: int = SAMPLE) -> Model:
                 packed = [np.round(r * 65535 / max(r.max(initial=0), 1e-9)).astype("<u2").tobytes() for r in rows]
                 yield pa.RecordBatch.from_arrays([part.column("lang"), pa.array(packed, pa.binary())], names=["lang", "row"])
 
-    # At most ``sample`` rows of 8 KB for each of at most ``MAX_LANGUAGES`` languages.
+    # At most ``MAX_SAMPLES`` rows of 8 KB.
     rows = sorted((r["lang"], bytes(r["row"])) for r in bytesets.map_arrow(chosen, features, "lang string, row binary").toLocalIterator())
-    matrix = np.array([np.frombuffer(r, "<u2") for _, r in rows], np.float32).reshape(len(rows), BUCKETS)
+    matrix = np.frombuffer(b"".join(r for _, r in rows), "<u2").reshape(len(rows), BUCKETS).astype(np.float32)
     matrix /= np.maximum(np.linalg.norm(matrix, axis=1, keepdims=True), 1e-9)
     return Model.fitted(matrix, [lang for lang, _ in rows])
 
