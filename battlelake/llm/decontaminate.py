@@ -4,8 +4,9 @@ Words are the maximal runs of digits, letters and non-ASCII characters after A-Z
 gives its windows of ``width`` consecutive words, or all its words as one window if it has fewer. Documents hash
 their windows in whole arrays, look them up in the set, and compare the words of each hit.
 
-The set is sent out in parts of at most ``MAX_WINDOWS`` (window, item) rows, so what is broadcast has a bound
-however large the benchmark is; each part is one more narrow pass over the documents.
+The set is sent out in parts of about ``MAX_WINDOWS`` (window, item) rows and ``MAX_BYTES`` of words at most, held as Arrow
+columns, so what is broadcast has a bound however large the benchmark is. Where there are several parts, each is one
+narrow pass over the numbered texts that stores only what it hit; that is joined to the documents once, at the end.
 
 Defined cases: a null or wordless text has no windows and is never hit; an item without words matches nothing; a
 null item id counts as the empty string; repeated items count once; repeated documents are judged one by one;
@@ -14,9 +15,8 @@ clashing names of other columns are kept and the result's columns renamed (see `
 
 from __future__ import annotations
 
-import hashlib
 from collections.abc import Iterator
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
@@ -29,8 +29,8 @@ from battlelake.llm import bytesets
 
 WIDTH = 10
 
-#: Rows of one broadcast part: about 100 MB of hashes and window texts at ten words each.
-MAX_WINDOWS = 500_000
+#: Rows of one broadcast part and bytes of their window texts: some 30 bytes a row beside the texts, 80 MB in all at most.
+MAX_WINDOWS, MAX_BYTES = 500_000, 64 << 20
 
 INSIDE = np.zeros(256, bool)
 INSIDE[0x30:0x3A] = INSIDE[0x61:0x7B] = INSIDE[0x80:] = True
@@ -71,46 +71,58 @@ def benchmark_windows(benchmark: DataFrame, width: int = WIDTH) -> DataFrame:
 
 
 @dataclass
-class WindowSet:
-    """One broadcast part: sorted hashes of each width, and what stands behind each hash."""
+class Windows:
+    """The windows of one width, by their hashes in ascending order, and a filter on the hashes' first bits."""
 
-    hashes: dict[int, np.ndarray] = field(default_factory=dict)
-    filters: dict[int, np.ndarray] = field(default_factory=dict)
-    entries: dict[tuple[int, int], dict[bytes, list[str]]] = field(default_factory=dict)
+    codes: np.ndarray
+    window: pa.Array
+    item_id: pa.Array
+    filter: np.ndarray
 
     BITS = 20
 
     @classmethod
-    def of(cls, rows) -> WindowSet:
-        self = cls()
-        for r in rows:
-            self.entries.setdefault((r["words"], r["hash"]), {}).setdefault(bytes(r["window"]), []).append(r["item_id"])
-        for width in sorted({w for w, _ in self.entries}):
-            codes = np.unique(np.array([h for w, h in self.entries if w == width], np.int64).view(np.uint64))
-            self.hashes[width] = codes
-            self.filters[width] = np.zeros(1 << cls.BITS, bool)
-            self.filters[width][(codes >> np.uint64(64 - cls.BITS)).astype(np.int64)] = True
-        return self
-
-    def found(self, width: int, codes: np.ndarray) -> np.ndarray:
-        """Positions of the codes that are in the set."""
-        maybe = np.flatnonzero(self.filters[width][(codes >> np.uint64(64 - self.BITS)).astype(np.int64)])
-        known = self.hashes[width]
-        at = np.minimum(np.searchsorted(known, codes[maybe]), len(known) - 1)
-        return maybe[known[at] == codes[maybe]]
-
-
-def _hits(lower, starts, ends, rows, hashes, windows: WindowSet):
+    def of(cls, rows: pa.Table) -> Windows:
+        codes = rows["hash"].to_numpy().view(np.uint64)
+        order = np.argsort(codes, kind="stable")
+        rows = rows.take(order).combine_chunks()
+        known = np.zeros(1 << cls.BITS, bool)
+        known[(codes >> np.uint64(64 - cls.BITS)).astype(np.int64)] = True
+        return cls(codes[order], rows["window"].combine_chunks(), rows["item_id"].combine_chunks(), known)
+
+    def found(self, codes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Positions of the codes that are in the set, and the first row of each."""
+        maybe = np.flatnonzero(self.filter[(codes >> np.uint64(64 - self.BITS)).astype(np.int64)])
+        at = np.minimum(np.searchsorted(self.codes, codes[maybe]), len(self.codes) - 1)
+        hit = self.codes[at] == codes[maybe]
+        return maybe[hit], at[hit]
+
+    def items(self, first: int, window: bytes) -> list[str]:
+        """The items that have this window; ``first`` is the first row of its hash."""
+        out, code = [], self.codes[first]
+        for row in range(first, len(self.codes)):
+            if self.codes[row] != code:
+                break
+            if self.window[row].as_py() == window:
+                out.append(self.item_id[row].as_py())
+        return out
+
+
+def window_set(rows: pa.Table) -> dict[int, Windows]:
+    """One broadcast part: the windows by their width."""
+    words = rows["words"].to_numpy()
+    return {int(width): Windows.of(rows.filter(pa.array(words == width))) for width in np.unique(words)}
+
+
+def _hits(lower, starts, ends, rows, hashes, windows: dict[int, Windows]):
     """Whether each word is inside a window of the set, and the items found in each row."""
     depth = np.zeros(len(starts) + 1, np.int32)
     items: dict[int, set[str]] = {}
-    for width in windows.hashes:
-        codes = bytesets.window_hashes(hashes, width)
-        for k in windows.found(width, codes):
+    for width, known in windows.items():
+        for k, first in zip(*known.found(bytesets.window_hashes(hashes, width)), strict=True):
             if rows[k] != rows[k + width - 1]:
                 continue
-            behind = windows.entries[width, int(codes[k].view(np.int64))]
-            if (names := behind.get(_joined(lower, starts[k:k + width], ends[k:k + width]))) is not None:
+            if names := known.items(first, _joined(lower, starts[k:k + width], ends[k:k + width])):
                 depth[k] += 1
                 depth[k + width] -= 1
                 items.setdefault(int(rows[k]), set()).update(names)
@@ -146,19 +158,35 @@ def scan(docs: DataFrame, benchmark: DataFrame, text: str = "text", width: int =
     for stem in RESULT:
         names[stem] = bytesets.free_name(docs, stem)
     windows = session.cut_lineage(benchmark_windows(benchmark, width))
-    parts = max(1, -(-windows.count() // max_windows))
-    out = docs
+    size = windows.agg(F.count("*").alias("rows"), F.coalesce(F.sum(F.length("window")), F.lit(0)).alias("bytes")).first()
+    parts = max(1, -(-size["rows"] // max_windows), -(-size["bytes"] // MAX_BYTES))
+
+    def part_of(part: int):
+        rows = windows.where(F.pmod(F.xxhash64("hash", "item_id"), F.lit(parts)) == part)
+        return spark.sparkContext.broadcast(window_set(rows.toArrow()))
+
+    if parts == 1:
+        return _pass(docs, part_of(0), text, names, first=True), names
+    number = bytesets.free_name(docs, "row_number")
+    numbered = session.cut_lineage(docs.withColumn(number, F.monotonically_increasing_id()))
+    hits = []
     for part in range(parts):
-        rows = windows.where(F.pmod(F.xxhash64("hash", "item_id"), F.lit(parts)) == part).collect()
-        known = spark.sparkContext.broadcast(WindowSet.of(rows))
-        out = _pass(out, known, text, names, first=part == 0)
-        if part + 1 < parts:
-            out = session.cut_lineage(out)
-    return out, names
+        known = part_of(part)
+        found = _pass(numbered.select(F.col(f"`{number}`").alias("row"), F.col(f"`{text}`").alias("text")), known, "text", {k: k for k in RESULT}, first=True)
+        hits.append(session.cut_lineage(found.where(F.size("hit_items") > 0).select("row", "hit_items", "hit_words")))
+        known.unpersist()
+    every = hits[0]
+    for other in hits[1:]:
+        every = every.unionByName(other)
+    every = every.groupBy(F.col("row").alias(number)).agg(
+        F.flatten(F.collect_list("hit_items")).alias(names["hit_items"]), F.flatten(F.collect_list("hit_words")).alias(names["hit_words"]))
+    added = [F.col(names[k]) if k in ("hit_items", "hit_words") else F.lit(None).cast(v).alias(names[k]) for k, v in RESULT_DDL.items()]
+    joined = numbered.join(every, number, "left").select(*[F.col(f"`{c}`") for c in docs.columns], *added)
+    return _pass(joined, spark.sparkContext.broadcast({}), text, names, first=False), names
 
 
 def _pass(docs: DataFrame, known, text: str, names: dict[str, str], first: bool) -> DataFrame:
-    """Adds the result columns, or merges this part's hits into them."""
+    """Adds the result columns; or fills them in around the hits that they hold already."""
     added = StructType.fromDDL(", ".join(f"`{names[k]}` {v}" for k, v in RESULT_DDL.items()))
     kept = [f for f in docs.schema.fields if f.name not in names.values()]
     schema = StructType([*kept, *added.fields])
@@ -187,8 +215,8 @@ def _pass(docs: DataFrame, known, text: str, names: dict[str, str], first: bool)
                 names_found = [items.get(r, set()) for r in range(part.num_rows)]
                 if not first:
                     earlier = {k: part.column(width_before + i).to_pylist() for i, k in enumerate(RESULT)}
-                    names_found = [a | set(b) for a, b in zip(names_found, earlier["hit_items"], strict=True)]
-                    spans = [_merge_spans(a + [tuple(x) for x in b]) for a, b in zip(spans, earlier["hit_words"], strict=True)]
+                    names_found = [a | set(b or ()) for a, b in zip(names_found, earlier["hit_items"], strict=True)]
+                    spans = [_merge_spans(a + [tuple(x) for x in b or ()]) for a, b in zip(spans, earlier["hit_words"], strict=True)]
                 column = part.column(position)
                 clean = column
                 touched = [r for r, s in enumerate(spans) if s]
@@ -239,6 +267,3 @@ def report(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
         (F.col(names["n_hit"]) > 0).alias("contaminated"),
     )
 
-
-def digest(items: list[str]) -> str:
-    return hashlib.sha256(",".join(sorted(items)).encode()).hexdigest()

@@ -1,6 +1,7 @@
 """Near copies, secrets, counts, BPE, id files, languages and decontamination against brute force."""
 
 import hashlib
+import pickle
 import re
 import zlib
 
@@ -253,6 +254,21 @@ def test_held_out_accuracy(spark, real_docs):
     assert {r["doc_id"] for r in rows} == {d for d, _ in rows_of(real_docs) if zlib.crc32(str(d).encode()) % 5 == 0}
 
 
+def test_sample_is_distinct_and_bounded(spark, rng, monkeypatch):
+    """One text a third of all rows; a language of nothing but copies is learnt; all samples together have a bound."""
+    words = {"en": "the of and to in is that it was for".split(), "de": "der die und in den von zu das mit sich".split()}
+    rows = [(" ".join(rng.choice(w) for _ in range(30)), lang) for lang, w in words.items() for _ in range(300)]
+    rows += [("el perro que no come la carne de la casa", "es")] * 300
+    docs = spark.createDataFrame(rows, "text string, lang string")
+    seen = []
+    monkeypatch.setattr(languages.Model, "fitted", classmethod(lambda cls, matrix, langs: seen.append(langs)))
+    languages.train(docs, sample=20)
+    assert {x: seen[0].count(x) for x in set(seen[0])} == {"en": 20, "de": 20, "es": 1}
+    monkeypatch.setattr(languages, "MAX_SAMPLES", 30)
+    languages.train(docs)
+    assert {x: seen[1].count(x) for x in set(seen[1])} == {"en": 10, "de": 10, "es": 1}
+
+
 def test_languages_of_odd_rows(odd_docs, no_docs):
     rows = languages.report(odd_docs).collect()
     assert len(rows) == odd_docs.count()
@@ -296,6 +312,31 @@ def test_decontamination(spark, odd_docs, no_docs, rng, max_windows, monkeypatch
         assert sorted_rows(got) == sorted_rows(brute_hits(rows_of(docs), items))
 
 
+def test_parts_keep_columns_and_rows(spark, monkeypatch):
+    """Several parts: repeated and null ids, clashing names, parts bounded by bytes as well."""
+    passages = [" ".join(f"{c}{i}" for i in range(14)) for c in "abc"]
+    benchmark = spark.createDataFrame(list(enumerate(passages)), "item_id long, text string")
+    rows = [(1, " x ".join(passages), 7), (1, " x ".join(passages), 7), (None, passages[2] + " end", 8), (2, "clean", 9)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, row_number int")
+    monkeypatch.setattr(decontaminate, "MAX_BYTES", 100)
+    left = decontaminate.without_spans(docs, benchmark)
+    assert left.columns == docs.columns
+    assert sorted_rows([tuple(r) for r in left.collect()]) == sorted_rows([(1, " x  x ", 7), (1, " x  x ", 7), (None, " end", 8), (2, "clean", 9)])
+
+
+def test_half_a_million_windows_are_small():
+    n = 100_000
+    rng = np.random.default_rng(3)
+    texts = [b"one two three four five six seven %d eight nine" % i for i in range(n)]
+    rows = pa.table({"hash": rng.integers(-2**63, 2**63 - 1, n), "words": pa.array([10] * n, pa.int32()), "window": texts, "item_id": [str(i // 50) for i in range(n)]})
+    known = decontaminate.window_set(rows)
+    assert len(pickle.dumps(known)) < 12_000_000
+    own = rows["hash"].to_numpy().view(np.uint64)[:5]
+    at, first = known[10].found(own)
+    assert at.tolist() == [0, 1, 2, 3, 4] and [known[10].items(f, texts[k]) for k, f in zip(at, first, strict=True)] == [["0"]] * 5
+    assert known[10].items(first[0], b"other") == []
+
+
 def test_spans_and_documents_go(spark):
     passage = " ".join(f"t{i}" for i in range(12))
     docs = spark.createDataFrame([(1, f"Before, {passage}. After", 5), (2, "clean text", 6), (3, None, 7)], "doc_id long, text string, n_words int")
