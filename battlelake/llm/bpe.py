@@ -168,6 +168,10 @@ def _positioned(batch: pa.RecordBatch) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays(batch.columns, names=[str(i) for i in range(batch.num_columns)])
 
 
+def _lists(ids: np.ndarray, counts: np.ndarray) -> pa.ListArray:
+    return pa.ListArray.from_arrays(pa.array(np.concatenate(([0], np.cumsum(counts))).astype(np.int32)), pa.array(ids, pa.int32()))
+
+
 def encode(docs: DataFrame, path: str, text: str = "text") -> DataFrame:
     """All columns, and the array ``ids`` (or a free name) of each whole text."""
     schema, at = _added(docs, "ids", ArrayType(IntegerType())), docs.columns.index(text)
@@ -177,13 +181,31 @@ def encode(docs: DataFrame, path: str, text: str = "text") -> DataFrame:
         for batch in batches:
             for part in bytesets.slices(_positioned(batch), str(at)):
                 ids, counts = own.encode(part.column(at).fill_null("").to_pylist())
-                offsets = np.concatenate(([0], np.cumsum(counts))).astype(np.int32)
-                column = pa.ListArray.from_arrays(pa.array(offsets), pa.array(ids, pa.int32()))
-                yield pa.RecordBatch.from_arrays([*part.columns, column], names=schema.names)
+                yield pa.RecordBatch.from_arrays([*part.columns, _lists(ids, counts)], names=schema.names)
 
     return bytesets.map_arrow(docs, encoded, schema)
 
 
+def encode_and_decode(docs: DataFrame, path: str, text: str = "text") -> DataFrame:
+    """All columns, ``ids`` and ``decoded`` (or free names), in one pass.
+
+    ``decode(encode(...))`` is the same, but Spark would run both functions at once, each in a process of its own with a
+    codec of its own.
+    """
+    schema, at = _added(docs, "ids", ArrayType(IntegerType())), docs.columns.index(text)
+    schema = schema.add(bytesets.free_name(docs, "decoded"), BinaryType())
+
+    def coded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        own = codec(path)
+        for batch in batches:
+            for part in bytesets.slices(_positioned(batch), str(at)):
+                ids, counts = own.encode(part.column(at).fill_null("").to_pylist())
+                texts = pa.array(own.decode(ids, counts), pa.binary())
+                yield pa.RecordBatch.from_arrays([*part.columns, _lists(ids, counts), texts], names=schema.names)
+
+    return bytesets.map_arrow(docs, coded, schema)
+
+
 def decode(df: DataFrame, path: str, ids: str = "ids") -> DataFrame:
     """All columns, and ``decoded`` (or a free name): the bytes that the ids stand for."""
     schema, at = _added(df, "decoded", BinaryType()), df.columns.index(ids)

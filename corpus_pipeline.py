@@ -52,7 +52,7 @@ def redact_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 def encode_and_decode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """doc_id, ids, their number, and whether they decode to the document's text."""
     path = public_tokenizers.path("byte_bpe_50k.tiktoken")
-    coded = bpe.decode(bpe.encode(docs.select("doc_id", "text"), path), path)
+    coded = bpe.encode_and_decode(docs.select("doc_id", "text"), path)
     text = F.coalesce(F.col("text"), F.lit("")).cast("binary")
     return coded.select(
         "doc_id", F.size("ids").cast("bigint").alias("n_tokens"), "ids", (F.col("decoded") == text).alias("round_trip"))

@@ -245,6 +245,15 @@ def test_numbers_pack_and_unpack(rng):
         assert token_files.unpack(*token_files.pack(numbers), n).tolist() == numbers.tolist()
 
 
+def test_one_pass_is_encoding_then_decoding(odd_docs, no_docs):
+    for docs in (odd_docs, no_docs):
+        named = docs.withColumn("decoded", F.lit(5)).withColumn("ids", F.lit(6))
+        want = bpe.decode(bpe.encode(named, RANKS), RANKS, "_ids")
+        got = bpe.encode_and_decode(named, RANKS)
+        assert got.columns == want.columns
+        assert sorted(map(str, got.collect())) == sorted(map(str, want.collect()))
+
+
 # Languages
 
 def test_held_out_accuracy(spark, real_docs):
