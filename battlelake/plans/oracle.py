@@ -565,6 +565,7 @@ def statements() -> dict[str, str]:
             "SELECT (SELECT count(*) FROM mapping) AS patterns, count(*) AS matrix_rows, CAST(9 AS INTEGER) AS matrix_columns,"
             " count(DISTINCT next_card) AS cards, CAST(sum(total_appearances) AS BIGINT) AS samples FROM matrix",
             "mapping", "matrix"),
+        "state_samples": _sql("SELECT deck_pattern, deck_pattern_id FROM mapping ORDER BY md5(deck_pattern), deck_pattern LIMIT 10", "mapping"),
         "recommendation_log": _sql(
             "SELECT request_id, array_to_string(partial_deck, ',') AS partial_deck,"
             " string_agg(CAST(card_id AS VARCHAR), ',' ORDER BY place) AS card_ids"

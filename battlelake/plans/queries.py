@@ -630,6 +630,13 @@ def state_profile(spark, sf_dir):
     return registry.profile(state.mapping, scored)
 
 
+@query
+def state_samples(spark, sf_dir):
+    """Ten patterns of the state with their ids, as the profile shows them."""
+    state = training.start(_battles(spark, sf_dir))
+    return registry.samples(state.mapping, "deck_pattern", 10).select("deck_pattern", "deck_pattern_id")
+
+
 @query
 def recommendation_log(spark, sf_dir):
     """One row per answered request with its list of cards, as kept by the audit log."""

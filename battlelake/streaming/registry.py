@@ -69,6 +69,11 @@ def profile(mapping: DataFrame, matrix: DataFrame) -> DataFrame:
     )
 
 
+def samples(rows: DataFrame, key: str, n: int) -> DataFrame:
+    """``n`` rows that stand for all: those whose keys have the least digests, the same ones at every run."""
+    return rows.orderBy(F.md5(F.col(key).cast("string").cast("binary")), key).limit(n)
+
+
 def audit_log(requests: DataFrame, recommendations: DataFrame) -> DataFrame:
     """Each answered request with its recommendations in order (at most ten per request)."""
     answers = recommendations.groupBy("request_id").agg(
