@@ -1,12 +1,11 @@
-"""Battles whose variety grows: what the fixture holds, matching and recommending over it, factors of unknown patterns."""
+"""Battles whose variety grows: what the fixture holds, the ranked floor, factors of unknown patterns."""
 
-import compare
 import numpy as np
 from pyspark.sql import functions as F
 
 from battlelake.functions.decks import pattern_of
 from battlelake.operators import als
-from battlelake.plans import oracle, training, varied_oracle, varied_queries
+from battlelake.plans import training, varied_queries
 from battlelake.session import cut_lineage
 
 
