@@ -4,9 +4,10 @@ import numpy as np
 from pyspark.sql import functions as F
 
 from battlelake.functions.decks import pattern_of
-from battlelake.operators import als
+from battlelake.operators import als, matching, recommend
 from battlelake.plans import training, varied_queries
 from battlelake.session import cut_lineage
+from battlelake.sources import fixtures
 
 
 def test_variety(spark, sf_dir):
@@ -42,3 +43,18 @@ def test_folding_in_without_known_cards_and_repeats(spark, sf_dir):
     odd = spark.createDataFrame([(-1, 5, 1.0), (-2, card, 1.0), (-2, card, 1.0), (-3, None, 1.0)], "deck_pattern_id int, next_card int, effectiveness_score double")
     assert [r["id"] for r in als.fold_in(model, odd).collect()] == [-2]
     assert als.residuals(model, odd, als.fold_in(model, odd)).where("residual < 1e-9").count() == 1
+
+
+def test_matching_equals_brute_force(spark, sf_dir):
+    """Best five patterns of every eleventh request's set, against all patterns, where one card is in a third of all decks."""
+    flat = varied_queries._flat(spark, sf_dir)
+    known = cut_lineage(training.start(varied_queries._battles(spark, sf_dir)).mapping)
+    asked = cut_lineage(recommend.request_sets(fixtures.requests(flat).where("request_id % 11 = 0")))
+    found = {}
+    for r in matching.similar_patterns(asked, known).collect():
+        found.setdefault(tuple(r["cards"]), []).append((r["place"], r["deck_pattern_id"], round(r["score"], 9)))
+    sets = sorted((r["deck_pattern_id"], frozenset(map(int, r["deck_pattern"].split(",")))) for r in known.collect())
+    assert len(sets) > 2000 and len(found) > 20
+    for cards, got in found.items():
+        scored = sorted((-len(s & set(cards)) / len(s | set(cards)), i) for i, s in sets)[:5]
+        assert sorted(got) == [(place, i, round(-score, 9)) for place, (score, i) in enumerate(scored, 1)]
