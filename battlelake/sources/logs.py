@@ -10,6 +10,7 @@ from pyspark.sql.types import StringType, StructField, StructType
 from battlelake import schemas
 from battlelake.functions.decks import file_cards
 from battlelake.functions.values import battle_date, narrow
+from battlelake.session import cut_lineage
 
 
 def decode(records: DataFrame, schema: StructType | str = schemas.BATTLE, value: str = "value") -> DataFrame:
@@ -160,11 +161,20 @@ def write_sorted_csv(rows: DataFrame, path: str, mode: str = "errorifexists") ->
 def append_sorted_csv(rows: DataFrame, path: str) -> None:
     """Adds the rows that the CSV files at ``path`` don't hold yet, so that a batch sent twice adds nothing.
 
-    Values count as the file has them: those that don't fit their column are null on both sides.
+    Values count as the file has them: those that don't fit their column are null on both sides. Equal rows have equal
+    times, so only what the files hold between the first and the last time of the batch is compared, on every column and
+    in one grouping: a row is new if none of its group is from the files.
     """
     kinds = [field.split() for field in schemas.BATTLE_CSV.split(", ")]
-    fitted = rows.select(*[narrow(F.col(name), kind).alias(name) for name, kind in kinds])
-    write_sorted_csv(fitted.subtract(read_battle_csv(rows.sparkSession, path)), path, mode="append")
+    # Stored, so that the times and the rows written are those of one and the same batch.
+    fitted = cut_lineage(rows.select(*[narrow(F.col(name), kind).alias(name) for name, kind in kinds]))
+    time = F.col("battle_time")
+    first, last, untimed = fitted.agg(F.min(time), F.max(time), F.coalesce(F.bool_or(time.isNull()), F.lit(False))).first()
+    near = time.between(F.lit(first), F.lit(last)) | (time.isNull() & F.lit(untimed))
+    held = read_battle_csv(rows.sparkSession, path).where(near)
+    both = fitted.withColumn("held", F.lit(False)).unionByName(held.withColumn("held", F.lit(True)))
+    groups = both.groupBy(*fitted.columns).agg(F.bool_or("held").alias("held"))
+    write_sorted_csv(groups.where(~F.col("held")).drop("held"), path, mode="append")
 
 
 def csv_to_parquet(spark: SparkSession, csv_path: str, parquet_path: str, force: bool = False) -> DataFrame:

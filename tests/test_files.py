@@ -35,6 +35,29 @@ def test_empty_batch_adds_nothing(spark, tmp_path):
     assert logs.read_battle_csv(spark, path).count() == 1
 
 
+def test_rows_without_a_time_are_added_once(spark, tmp_path):
+    path = str(tmp_path / "csv")
+    logs.write_sorted_csv(spark.createDataFrame([battle(None), battle("20240102T000000.000Z")], WIDE), path)
+    batches = [[battle(None), battle(None, crowns=2)], [battle(None, crowns=2), battle("20240102T000000.000Z"), battle("20240102T000000.000Z", crowns=2)]]
+    for batch in batches:
+        logs.append_sorted_csv(spark.createDataFrame(batch, WIDE), path)
+    rows = logs.read_battle_csv(spark, path).collect()
+    assert sorted((r.battle_time or "", r.crowns1) for r in rows) == [("", 1), ("", 2), ("20240102T000000.000Z", 1), ("20240102T000000.000Z", 2)]
+
+
+def test_a_batch_is_compared_with_the_rows_of_its_times_only(spark, tmp_path, monkeypatch):
+    path = str(tmp_path / "csv")
+    logs.write_sorted_csv(spark.createDataFrame([battle("20240101T000000.000Z"), battle("20240103T000000.000Z")], WIDE), path)
+    written = []
+    monkeypatch.setattr(logs, "write_sorted_csv", lambda rows, *_, **__: written.append(rows))
+    logs.append_sorted_csv(spark.createDataFrame([battle("20240102T000000.000Z"), battle("20240103T000000.000Z")], WIDE), path)
+    plan = written[0]._jdf.queryExecution().executedPlan().toString()
+    # One grouping in one exchange, no join on every column; what is outside the batch's times stays in the scan.
+    assert "Join" not in plan and plan.count("Exchange") == 1
+    assert "GreaterThanOrEqual(battle_time,20240102T000000.000Z)" in plan
+    assert [r.battle_time for r in written[0].collect()] == ["20240102T000000.000Z"]
+
+
 def test_a_table_is_overwritten_by_force_only(spark, tmp_path):
     source, table = str(tmp_path / "csv"), str(tmp_path / "table")
     logs.write_sorted_csv(spark.createDataFrame([battle("20240101T000000.000Z")], WIDE), source)
