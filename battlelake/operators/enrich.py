@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from battlelake.operators.performance import flatten
-from battlelake.sources.dims import distinct_keys, literal_map
+from battlelake.sources.dims import distinct_keys, literal_lookup
 
 UNKNOWN = "Unknown"
 
@@ -24,12 +24,12 @@ def with_mode_names(df: DataFrame, modes: DataFrame) -> DataFrame:
 def with_card_names(df: DataFrame, decks: dict[str, str], cards: DataFrame) -> DataFrame:
     """Add a name list per deck column (``{deck column: new column}``), in deck order.
 
-    A dimension of card-game size becomes a literal map; a larger one is joined card by card.
+    A dimension of card-game size becomes a literal; a larger one is joined card by card.
     """
-    names = literal_map(cards, "id", "name")
-    if names is not None:
+    name_of = literal_lookup(cards, "id", "name")
+    if name_of is not None:
         return df.withColumns({
-            new: F.transform(deck, lambda c: F.coalesce(F.try_element_at(names, c), unknown_card(c)))
+            new: F.transform(deck, lambda c: F.coalesce(name_of(c), unknown_card(c)))
             for deck, new in decks.items()
         })
     dim = distinct_keys(cards, "id", "name").select(F.col("id").alias("card"), "name")

@@ -26,13 +26,14 @@ CUT_RECORD = (
 )
 
 
-def _staged(spark: SparkSession, battles: DataFrame) -> DataFrame:
-    """The battles and the broken records as a stream of record files, in time order."""
+def _staged(spark: SparkSession, sf_dir: str, both_logs: bool = False) -> DataFrame:
+    """The battles (or the log of both players) and the broken records as a stream of record files, in time order."""
     path, files = work_path(spark, "records"), shuffle_width(spark)
-    # Spread first, then write JSON: the text is built by all tasks, and once.
-    spread = battles.repartitionByRange(files, "battle_time", "battle_id")
+    # Events are spread, which a sample reads first; battles and JSON text are built after that by all tasks, and once.
+    spread = fixtures.read_events(spark, sf_dir).repartitionByRange(files, "ts", "event_id")
+    battles = fixtures.nest(fixtures.battles_flat_from(spread))
     broken = spark.createDataFrame([(text,) for text in BROKEN_RECORDS], "value string").coalesce(1)
-    logs.to_records(spread).unionByName(broken).write.text(path)
+    logs.to_records(fixtures.battle_log(battles) if both_logs else battles).unionByName(broken).write.text(path)
     return sources.record_files(spark, path, files_per_batch=-(-(files + 1) // MICRO_BATCHES))
 
 
@@ -45,7 +46,7 @@ def _finish(run: StreamingQuery) -> None:
 @query
 def stream_documents(spark, sf_dir):
     out, checkpoint = work_path(spark, "documents"), work_path(spark, "checkpoint")
-    stream = _staged(spark, batch._battles(spark, sf_dir))
+    stream = _staged(spark, sf_dir)
     _finish(jobs.documents_job(
         stream, fixtures.card_dim(spark), dims.game_mode_dim(spark), out, checkpoint, available_now=True
     ))
@@ -56,7 +57,7 @@ def stream_documents(spark, sf_dir):
 
 def _fanned_out(spark, sf_dir):
     out, checkpoint = work_path(spark, "fan-out"), work_path(spark, "checkpoint")
-    stream = _staged(spark, fixtures.battle_log(batch._battles(spark, sf_dir)))
+    stream = _staged(spark, sf_dir, both_logs=True)
     _finish(jobs.fan_out_job(
         stream, fixtures.card_dim(spark), dims.game_mode_dim(spark), out, checkpoint, available_now=True
     ))
@@ -149,7 +150,7 @@ def stream_progress(spark, sf_dir):
 @query
 def stream_matrix(spark, sf_dir):
     state, checkpoint = StateTables(spark, work_path(spark, "state")), work_path(spark, "checkpoint")
-    stream = _staged(spark, batch._battles(spark, sf_dir))
+    stream = _staged(spark, sf_dir)
     _finish(jobs.training_job(stream, state, checkpoint, with_model=False, available_now=True))
     return batch._rounded_matrix(scored(state.load().moments))
 
@@ -178,7 +179,7 @@ def state_model_reloaded(spark, sf_dir):
 @query
 def stream_dedup(spark, sf_dir):
     out, checkpoint = work_path(spark, "deduplicated"), work_path(spark, "checkpoint")
-    stream = _staged(spark, fixtures.battle_log(batch._battles(spark, sf_dir)))
+    stream = _staged(spark, sf_dir, both_logs=True)
     _finish(jobs.dedup_job(stream, out, checkpoint, available_now=True))
     return batch._flat_text(sinks.read_batches(spark, f"{out}/battles").drop("battle_day"))
 
@@ -186,7 +187,7 @@ def stream_dedup(spark, sf_dir):
 @query
 def stream_card_usage_window(spark, sf_dir):
     out, checkpoint = work_path(spark, "usage"), work_path(spark, "checkpoint")
-    stream = _staged(spark, batch._battles(spark, sf_dir))
+    stream = _staged(spark, sf_dir)
     _finish(jobs.card_usage_job(stream, out, checkpoint, available_now=True))
     return jobs.card_usage(spark, out)
 
@@ -195,7 +196,7 @@ def stream_card_usage_window(spark, sf_dir):
 def stream_card_metrics(spark, sf_dir):
     """Card usage per day from a log with copies: each battle counts once, the larger tag first."""
     out, checkpoint = work_path(spark, "usage"), work_path(spark, "checkpoint")
-    stream = _staged(spark, fixtures.battle_log(batch._battles(spark, sf_dir)))
+    stream = _staged(spark, sf_dir, both_logs=True)
     _finish(jobs.card_metrics_job(stream, out, checkpoint, available_now=True))
     return jobs.card_metrics(spark, checkpoint)
 

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 # Game-mode ids, names and classes of the battle logs.
@@ -63,6 +65,21 @@ def distinct_keys(dim: DataFrame, key: str, value: str) -> DataFrame:
     return dim.where(F.col(key).isNotNull()).groupBy(key).agg(F.min(value).alias(value))
 
 
+def literal_lookup(dim: DataFrame, key: str, value: str) -> Callable[[Column], Column] | None:
+    """Function of a key column to its value (null without one), or None when the dimension is no ``literal_map``.
+
+    A constant map is searched entry by entry; ids that lie close together are places of a constant array instead.
+    """
+    kinds, rows = dict(dim.dtypes), distinct_keys(dim, key, value).take(MAX_LITERAL_ROWS + 1)
+    ids = [row[0] for row in rows]
+    if not ids or len(ids) > MAX_LITERAL_ROWS or kinds[key] not in ("int", "bigint") or max(ids) - min(ids) >= 4 * len(ids):
+        names = literal_map(dim, key, value)
+        return None if names is None else lambda c: F.try_element_at(names, c)
+    found, first = dict(map(tuple, rows)), min(ids)
+    places = F.array(*[F.lit(found.get(i)) for i in range(first, max(ids) + 1)]).cast(f"array<{kinds[value]}>")
+    return lambda c: F.get(places, F.try_subtract(c, F.lit(first)).try_cast("int"))
+
+
 def literal_map(dim: DataFrame, key: str, value: str) -> Column | None:
     """The dimension as a map column, or None when it has more than MAX_LITERAL_ROWS rows.
 

@@ -56,6 +56,11 @@ def _observed(stream: DataFrame, name: str) -> DataFrame:
     return stream.observe(name, F.count(F.lit(1)).alias("rows"), bad.alias("quarantined"))
 
 
+def _letters_only(rows: DataFrame) -> DataFrame:
+    """Text and origin stay with the records that cannot be used: a stored batch need not hold the others' twice."""
+    return rows.withColumns({c: F.when(F.col("reason").isNotNull(), F.col(c)) for c in ("value", "origin")})
+
+
 def _usable(batch: DataFrame, batch_id: int, quarantine: str) -> DataFrame:
     """The battles that can be used; the other records are stored as they came, each with its reason."""
     good, letters = logs.split_parsed(batch)
@@ -105,7 +110,8 @@ def fan_out_job(
         finally:
             batch.unpersist()
 
-    return _per_batch(_observed(sources.parsed_battles(records), "fan_out"), work, checkpoint, available_now)
+    parsed = _observed(_letters_only(sources.parsed_battles(records)), "fan_out")
+    return _per_batch(parsed, work, checkpoint, available_now)
 
 
 def point_log(spark: SparkSession, out: str) -> DeltaLog:

@@ -84,10 +84,22 @@ class Commits:
         return out
 
 
+# A hash is added up in parts of so many bits, so that long sums hold for 2**41 rows.
+_PART_BITS = 21
+
+
 def _checks(rows: DataFrame) -> list[Column]:
-    """Number of rows, and a sum over their hashes that doesn't depend on their order."""
-    hashed = F.xxhash64(*sorted(rows.columns)).cast("decimal(20,0)")
-    return [F.count(F.lit(1)).alias("rows"), F.coalesce(F.sum(hashed), F.lit(0).cast("decimal(30,0)")).cast("decimal(38,0)").alias("checksum")]
+    """Number of rows, and a sum over their hashes that doesn't depend on their order.
+
+    The parts of a hash are summed as longs and put together once; decimals would be an object per row.
+    """
+    hashed, mask = F.xxhash64(*sorted(rows.columns)), 2**_PART_BITS - 1
+    parts = [hashed.bitwiseAND(mask), F.shiftright(hashed, _PART_BITS).bitwiseAND(mask), F.shiftright(hashed, 2 * _PART_BITS)]
+    sums = [
+        F.coalesce(F.sum(part), F.lit(0)).cast("decimal(20,0)") * F.lit(2 ** (_PART_BITS * place)).cast("decimal(13,0)")
+        for place, part in enumerate(parts)
+    ]
+    return [F.count(F.lit(1)).alias("rows"), (sums[0] + sums[1] + sums[2]).cast("decimal(38,0)").alias("checksum")]
 
 
 class RowWriter:
